@@ -7,7 +7,6 @@ import sys
 import time
 
 import duckdb
-import pandas as pd
 from pyspark.sql import SparkSession
 
 from checks import oracle
@@ -26,33 +25,23 @@ def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
-def canonical(frame: pd.DataFrame) -> list[tuple]:
-    """Rows as sorted text, columns by name; whole floats keep their decimals."""
-
-    def text(value: object) -> str:
-        if value is None or value is pd.NaT or (isinstance(value, float) and value != value):
-            return "∅"
-        if isinstance(value, float):
-            return repr(value)
-        if isinstance(value, pd.Timestamp):
-            return value.isoformat()
-        return str(value)
-
-    ordered = frame[sorted(frame.columns)].astype(object)
-    return sorted(tuple(text(v) for v in row) for row in ordered.itertuples(index=False, name=None))
+def canonical(columns: list[str], rows: list) -> list[tuple]:
+    """Rows as sorted text, columns by name."""
+    order = sorted(range(len(columns)), key=columns.__getitem__)
+    return sorted(tuple(repr(row[i]) for i in order) for row in rows)
 
 
 def differences(spark: SparkSession, con, sf_dir: str, name: str) -> str | None:
     """None if Spark and DuckDB agree on columns and rows, else what differs."""
-    mine = registered()[name](spark, sf_dir).toPandas()
-    theirs = con.sql(oracle.statements()[name]).df()
-    if sorted(mine.columns) != sorted(theirs.columns):
-        return f"columns {sorted(mine.columns)} against {sorted(theirs.columns)}"
-    left, right = canonical(mine), canonical(theirs)
+    mine = registered()[name](spark, sf_dir)
+    theirs = con.execute(oracle.statements()[name])
+    columns = [column[0] for column in theirs.description]
+    if sorted(mine.columns) != sorted(columns):
+        return f"columns {sorted(mine.columns)} against {sorted(columns)}"
+    left, right = canonical(mine.columns, mine.collect()), canonical(columns, theirs.fetchall())
     if left == right:
         return None
-    only_left = [r for r in left if r not in set(right)][:2]
-    only_right = [r for r in right if r not in set(left)][:2]
+    only_left, only_right = sorted(set(left) - set(right))[:2], sorted(set(right) - set(left))[:2]
     return f"rows {len(left)} against {len(right)}; {only_left} against {only_right}"
 
 
@@ -63,6 +52,7 @@ def session() -> SparkSession:
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.driver.memory", "8g")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .getOrCreate()
     )
