@@ -9,6 +9,7 @@ runs on the events or, inside a batch run, on a much smaller stored tally.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -50,7 +51,12 @@ def minutes_played(df: DataFrame) -> Column:
 def distinct(column: str) -> Measure:
     """Exact distinct count. Spark shuffles on (keys, column), so a hot key is
     spread over tasks by the counted column."""
-    return lambda df: F.count_distinct(column)
+
+    def measure(df: DataFrame) -> Column:
+        return F.count_distinct(column)
+
+    measure.counts_distinct = True
+    return measure
 
 
 def approx_distinct(column: str) -> Measure:
@@ -59,10 +65,34 @@ def approx_distinct(column: str) -> Measure:
     return lambda df: F.approx_count_distinct(column)
 
 
+def combine(keys: list[str], parts: list[DataFrame]) -> DataFrame:
+    """Side by side the columns of frames that each hold one row per key.
+
+    A union and one more aggregation of finished rows: one shuffle however many
+    parts there are, and null keys meet, which they would not in a join.
+    """
+    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    held = [F.max(c).alias(c) for c in stacked.columns if c not in keys]
+    return stacked.groupBy(*keys).agg(*held)
+
+
 def summarise(df: DataFrame, keys: list[str], **measures: Measure) -> DataFrame:
-    """One row per key with the named measures."""
-    columns = [measure(df).alias(name) for name, measure in measures.items()]
-    return df.groupBy(*keys).agg(*columns)
+    """One row per key with the named measures.
+
+    Several distinct counts in one aggregation would copy every row once per
+    count, each copy as wide as all counted columns. Counting each column in a
+    pass of its own reads only that column and the keys.
+    """
+    counts = [n for n, m in measures.items() if getattr(m, "counts_distinct", False)]
+    passes = [{n: m for n, m in measures.items() if n not in counts[1:]}]
+    passes += [{n: measures[n]} for n in counts[1:]]
+    parts = [
+        df.groupBy(*keys).agg(*[measure(df).alias(name) for name, measure in each.items()])
+        for each in passes
+    ]
+    if len(parts) == 1:
+        return parts[0]
+    return combine(keys, parts).select(*keys, *measures)
 
 
 def tally(df: DataFrame, *keys: str) -> DataFrame:

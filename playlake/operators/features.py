@@ -6,8 +6,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from playlake import fixed
 from playlake.functions.labels import low_engagement
-from playlake.functions.measures import mean_seconds, plays
+from playlake.functions.measures import Measure, combine, distinct, mean_seconds, plays, summarise
 from playlake.functions.numbers import half_up
+from playlake.functions.times import with_play_date
 from playlake.operators.clean import cutoff, time_split
 
 HABIT_COLUMNS = [
@@ -27,41 +28,38 @@ def latest_level(events: DataFrame) -> DataFrame:
     return held.groupBy("userId").agg(last.alias("level"))
 
 
-def _habits(events: DataFrame) -> list[Column]:
-    return [
-        plays(events).alias("total_plays"),
-        F.count_distinct("artist").alias("unique_artists"),
-        F.count_distinct("song").alias("unique_songs"),
-        F.count_distinct("sessionId").alias("total_sessions"),
-        mean_seconds(events).alias("avg_duration"),
-        F.count_distinct(F.to_date("event_ts")).alias("active_days"),
-    ]
+def _habits(events: DataFrame, **more: Measure) -> DataFrame:
+    """userId -> habits, ``more`` and the latest level.
 
-
-def _with_level(habits: DataFrame, events: DataFrame) -> DataFrame:
-    """Attach the level. Both sides hold one row per user.
-
-    A text column among the habit aggregates would turn the whole multi-distinct
-    hash aggregation into a sort of the expanded events; on its own it only
-    meets (user, level) rows.
+    The level is text, which an aggregation can only hold by sorting; it joins
+    the other parts once those are down to one row per user.
     """
-    level = latest_level(events).withColumnRenamed("userId", "level_user")
-    same_user = F.col("userId").eqNullSafe(F.col("level_user"))
-    return habits.join(level, same_user, "left").drop("level_user")
+    days = with_play_date(events)
+    counted = summarise(
+        days,
+        ["userId"],
+        total_plays=plays,
+        unique_artists=distinct("artist"),
+        unique_songs=distinct("song"),
+        total_sessions=distinct("sessionId"),
+        avg_duration=mean_seconds,
+        active_days=distinct("play_date"),
+        **more,
+    )
+    return combine(["userId"], [counted, latest_level(events)])
 
 
 def user_features(events: DataFrame) -> DataFrame:
     """Listening habits per user, for segmentation."""
-    return _with_level(events.groupBy("userId").agg(*_habits(events)), events)
+    return _habits(events)
 
 
 def churn_features(events: DataFrame) -> DataFrame:
     """Habits in the early period, with the span and rate of listening."""
     early, _ = time_split(events)
-    first, last = F.min("event_ts"), F.max("event_ts")
-    habits = early.groupBy("userId").agg(*_habits(early), F.date_diff(last, first).alias("days_span"))
+    span = F.date_diff(F.max("event_ts"), F.min("event_ts"))
     daily = half_up(F.col("total_plays") / (F.col("days_span") + 1), 2)
-    return _with_level(habits, early).withColumn("plays_per_day", daily)
+    return _habits(early, days_span=lambda df: span).withColumn("plays_per_day", daily)
 
 
 def early_users(events: DataFrame) -> DataFrame:

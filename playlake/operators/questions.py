@@ -9,11 +9,11 @@ from playlake.functions.numbers import percent
 
 
 def premium_ratio(events: DataFrame) -> DataFrame:
-    """Distinct paying users in percent of distinct users."""
-    paying = F.when(F.col("level") == "paid", F.col("userId"))
-    return events.agg(
-        percent(F.count_distinct(paying), F.count_distinct("userId")).alias("premium_pct")
-    )
+    """Users who ever paid, in percent of all users, from one pass over (user, level)."""
+    paying = F.max((F.col("level") == "paid").cast("int")).alias("paying")
+    per_user = events.filter(F.col("userId").isNotNull()).groupBy("userId").agg(paying)
+    share = percent(F.count_if(F.col("paying") == 1), F.count(F.lit(1)))
+    return per_user.agg(share.alias("premium_pct"))
 
 
 def kpi_summary(overview: DataFrame, summary: DataFrame, events: DataFrame) -> DataFrame:

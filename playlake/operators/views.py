@@ -31,16 +31,17 @@ def top(view: DataFrame, measure: str, rows: int, *ties: str) -> DataFrame:
 
 
 def overview(events: DataFrame) -> DataFrame:
-    duration = F.col("duration")
-    return events.agg(
-        plays(events).alias("total_plays"),
-        F.count_distinct("userId").alias("unique_users"),
-        F.count_distinct("artist").alias("unique_artists"),
-        F.count_distinct("song").alias("unique_songs"),
-        F.count_distinct("sessionId").alias("total_sessions"),
-        mean_seconds(events).alias("avg_duration_sec"),
-        half_up(F.min(duration), 1).alias("min_duration_sec"),
-        half_up(F.max(duration), 1).alias("max_duration_sec"),
+    return summarise(
+        events,
+        [],
+        total_plays=plays,
+        unique_users=distinct("userId"),
+        unique_artists=distinct("artist"),
+        unique_songs=distinct("song"),
+        total_sessions=distinct("sessionId"),
+        avg_duration_sec=mean_seconds,
+        min_duration_sec=lambda df: half_up(F.min("duration"), 1),
+        max_duration_sec=lambda df: half_up(F.max("duration"), 1),
     )
 
 
