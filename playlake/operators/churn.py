@@ -40,8 +40,12 @@ def holdout_split(dataset: DataFrame) -> tuple[DataFrame, DataFrame]:
     return dataset.filter(train), dataset.filter(~train)
 
 
-def fit_churn(train: DataFrame) -> PipelineModel | None:
-    """Fit on a stored table; None without training rows."""
+def fit_churn(train: DataFrame, path: str) -> PipelineModel | None:
+    """Fit on a stored table and keep the model at ``path``; None without rows.
+
+    The stored copy is returned: a freshly fitted forest drags its training
+    summary, and with it the session, into every scoring task.
+    """
     if train.isEmpty():
         return None
     forest = RandomForestClassifier(
@@ -52,7 +56,9 @@ def fit_churn(train: DataFrame) -> PipelineModel | None:
         labelCol="label",
         probabilityCol="probability",
     )
-    return Pipeline(stages=[*scaled_features(CHURN_COLUMNS), forest]).fit(train)
+    fitted = Pipeline(stages=[*scaled_features(CHURN_COLUMNS), forest]).fit(train)
+    fitted.write().overwrite().save(path)
+    return PipelineModel.load(path)
 
 
 def score(model: PipelineModel | None, dataset: DataFrame) -> DataFrame:

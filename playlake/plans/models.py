@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 
 from playlake.operators import churn, features, segments
@@ -21,18 +20,6 @@ def _by_user(df: DataFrame) -> DataFrame:
     return df.sortWithinPartitions("userId")
 
 
-def _kept(model: PipelineModel | None, path: str) -> PipelineModel | None:
-    """Keep a model with its outputs and go on with the reloaded copy.
-
-    A freshly fitted forest drags its training summary, and with it the
-    session, into every scoring task; the reloaded one is only trees.
-    """
-    if model is None:
-        return None
-    model.write().overwrite().save(path)
-    return PipelineModel.load(path)
-
-
 def run_segments(spark: SparkSession, clean: DataFrame, store: str) -> tuple[DataFrame, DataFrame]:
     """Write user_features, user_segments and segment_profiles."""
     users = _stored(spark, _by_user(features.user_features(clean)), f"{store}/user_features")
@@ -48,7 +35,7 @@ def run_churn(spark: SparkSession, clean: DataFrame, store: str) -> tuple[DataFr
     labelled = features.churn_dataset(habits, features.churn_labels_time(clean))
     dataset = _stored(spark, _by_user(labelled), f"{store}/churn_dataset")
     train, holdout = churn.holdout_split(dataset)
-    model = _kept(churn.fit_churn(train), f"{store}/churn_model")
+    model = churn.fit_churn(train, f"{store}/churn_model")
     predictions = _stored(spark, churn.score(model, dataset), f"{store}/churn_predictions")
     summary = churn.churn_summary(predictions, churn.holdout_auc(model, holdout))
     return predictions, _stored(spark, summary, f"{store}/churn_summary")

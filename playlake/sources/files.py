@@ -30,7 +30,11 @@ def read_view(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_json_events(spark: SparkSession, path: str) -> DataFrame:
-    """JSON lines with the declared schema; malformed lines are skipped."""
+    """JSON lines with the declared schema; malformed lines are skipped.
+
+    Only the columns a query uses are parsed, so a value of the wrong type
+    makes a line malformed for the queries that read that column.
+    """
     return spark.read.schema(EVENT_DDL).option("mode", "DROPMALFORMED").json(path)
 
 
@@ -47,23 +51,18 @@ def require_events(spark: SparkSession, path: str) -> DataFrame:
     return raw
 
 
-def write_parquet(df: DataFrame, path: str, cluster_by: list[str] | None = None, single_file: bool = False) -> int:
+def write_parquet(df: DataFrame, path: str, single_file: bool = False) -> int:
     """Overwrite ``path`` and return the number of rows written.
 
-    The count is observed while writing, not by a second scan. ``cluster_by``
-    lays the table out in folders by those columns; the rebalance hint lets
-    adaptive execution split a hot folder over tasks and merge small ones, so
-    neither one huge nor very many small files come out. ``single_file`` is for
-    results known to be tiny.
+    The count is observed while writing, not by a second scan. Without
+    ``single_file``, which is for results known to be tiny, every task writes
+    its own file.
     """
     counted = Observation()
     out = df.observe(counted, F.count(F.lit(1)).alias("rows"))
     if single_file:
         out = out.coalesce(1)
-    if cluster_by:
-        out.hint("rebalance", *cluster_by).write.mode("overwrite").partitionBy(*cluster_by).parquet(path)
-    else:
-        out.write.mode("overwrite").parquet(path)
+    out.write.mode("overwrite").parquet(path)
     return counted.get["rows"]
 
 
