@@ -37,7 +37,20 @@ def raw_path(spark: SparkSession, sf_dir: str) -> str:
 
 
 def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return testdata.raw_events(spark, sf_dir)
+    """Raw events of fixture A, replays included, as the stream left them."""
+    return files.read_events(spark, raw_path(spark, sf_dir))
+
+
+def plain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw events of fixture A without replays."""
+    path = _stored(spark, sf_dir, "plain", lambda: testdata.event_plays(spark, sf_dir))
+    return files.read_events(spark, path)
+
+
+def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw events of fixture B."""
+    path = _stored(spark, sf_dir, "orders", lambda: testdata.order_plays(spark, sf_dir))
+    return files.read_events(spark, path)
 
 
 def clean_path(spark: SparkSession, sf_dir: str) -> str:
@@ -51,9 +64,7 @@ def cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def order_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clean events of fixture B."""
-    path = _stored(
-        spark, sf_dir, "order_clean", lambda: clean.clean_events(testdata.order_plays(spark, sf_dir))
-    )
+    path = _stored(spark, sf_dir, "order_clean", lambda: clean.clean_events(orders(spark, sf_dir)))
     return files.read_events(spark, path)
 
 
@@ -108,12 +119,8 @@ def _json_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.read_json_events(spark, path)
 
 
-def _scan_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return files.read_events(spark, raw_path(spark, sf_dir))
-
-
 def _parse_json(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return messages.parse_messages(messages.to_messages(testdata.event_plays(spark, sf_dir)))
+    return messages.parse_messages(messages.to_messages(plain(spark, sf_dir)))
 
 
 def _time_split(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -196,7 +203,7 @@ def _hourly_by_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _merged_unfiltered(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Script form: the batch side is raw, of every page."""
-    early = testdata.event_plays(spark, sf_dir).filter(testdata.speed_start(batch=True))
+    early = plain(spark, sf_dir).filter(testdata.speed_start(batch=True))
     return merge.merged_events(early, speed(spark, sf_dir), filter_batch=False)
 
 
@@ -249,7 +256,7 @@ def _window_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     # scans, sinks
-    "scan_events": _scan_events,
+    "scan_events": raw,
     "json_roundtrip": _json_roundtrip,
     "parse_json_events": _parse_json,
     # cleaning
@@ -346,12 +353,12 @@ QUERIES: dict[str, Query] = {
     "window_top_songs": _window_batch,
     "stream_level_summary": _stream_level_summary,
     # keyed counts
-    "count_by_artist_key": _on(testdata.event_plays, counts.count_by_artist_key),
-    "count_by_hour_key": _on(testdata.event_plays, counts.count_by_hour_key),
-    "count_by_user_key": _on(testdata.event_plays, counts.count_by_user_key),
-    "bench_top_artists": _on(testdata.order_plays, counts.bench_top_artists),
-    "bench_plays_by_hour": _on(testdata.order_plays, counts.bench_plays_by_hour),
-    "bench_user_sessions": _on(testdata.order_plays, counts.bench_user_sessions),
+    "count_by_artist_key": _on(plain, counts.count_by_artist_key),
+    "count_by_hour_key": _on(plain, counts.count_by_hour_key),
+    "count_by_user_key": _on(plain, counts.count_by_user_key),
+    "bench_top_artists": _on(orders, counts.bench_top_artists),
+    "bench_plays_by_hour": _on(orders, counts.bench_plays_by_hour),
+    "bench_user_sessions": _on(orders, counts.bench_user_sessions),
     # dashboard questions
     "kpi_summary": _kpis,
     "funnel": _on(raw, questions.funnel),

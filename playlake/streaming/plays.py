@@ -17,6 +17,7 @@ from playlake import fixed
 from playlake.functions.measures import approx_distinct, mean_seconds, plays, summarise
 from playlake.operators.clean import drop_incomplete, filter_page, stamp
 from playlake.schema import EVENT_COLUMNS
+from playlake.sources.files import read_events
 from playlake.sources.messages import parse_messages
 
 BATCH_FOLDER = "batch_id"
@@ -81,13 +82,12 @@ def _start(writer: DataStreamWriter, checkpoint: str | None, every: str | None)
 
 def _write_layers(raw_path: str, speed_path: str) -> Callable[[DataFrame, int], None]:
     def write(batch: DataFrame, batch_id: int) -> None:
-        held = batch.persist()
-        try:
-            folder = f"{BATCH_FOLDER}={batch_id}"
-            held.write.mode("overwrite").parquet(f"{raw_path}/{folder}")
-            song_plays(held).write.mode("overwrite").parquet(f"{speed_path}/{folder}")
-        finally:
-            held.unpersist()
+        folder = f"{BATCH_FOLDER}={batch_id}"
+        batch.write.mode("overwrite").parquet(f"{raw_path}/{folder}")
+        # The plays come from the files just written: nothing is cached, and
+        # neither the source nor the parser runs a second time.
+        landed = read_events(batch.sparkSession, f"{raw_path}/{folder}")
+        song_plays(landed).write.mode("overwrite").parquet(f"{speed_path}/{folder}")
 
     return write
 
