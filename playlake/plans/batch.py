@@ -8,16 +8,29 @@ from playlake import fixed
 from playlake.operators import clean as cleaning
 from playlake.operators import views
 from playlake.plans.models import run_churn, run_segments
+from playlake.session import prepare, size_for
 from playlake.sources.files import read_events, read_view, require_events, write_parquet
 
 
-def run_batch(spark: SparkSession, raw_path: str, store: str, models: bool = True) -> dict[str, int]:
+def run_batch(
+    spark: SparkSession,
+    raw_path: str,
+    store: str,
+    models: bool = True,
+    input_bytes: int | None = None,
+) -> dict[str, int]:
     """Rebuild the store from raw events; returns rows written per table.
 
+    Give the size of the raw table to cut scans and shuffles for it; without
+    it the cluster's settings apply.
+
     Events are scanned for the clean table, the two tallies, the sessions and
     the overview. All other views read those much smaller tables, and every
     step hands over through files, so a lost executor repeats one step only.
     """
+    prepare(spark)
+    if input_bytes:
+        size_for(spark, input_bytes)
     raw = require_events(spark, raw_path)
     written: dict[str, int] = {}
 

@@ -7,6 +7,8 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+MIN_TASK_BYTES = 128 << 20
+MAX_TASKS = 32_768
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 _local_roots: dict[str, str] = {}
 
@@ -23,6 +25,31 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def task_layout(input_bytes: int) -> tuple[int, int]:
+    """(tasks, bytes per task) for a scan or full shuffle of ``input_bytes``.
+
+    Tasks of 128 MiB up to 4 TiB; above that the tasks grow, because the blocks
+    of a shuffle grow with map tasks times reduce tasks. 100 TB make 32,768
+    tasks of 3 GB, which spill but do not drown the cluster in blocks.
+    """
+    size = max(MIN_TASK_BYTES, -(-input_bytes // MAX_TASKS))
+    return max(1, -(-input_bytes // size)), size
+
+
+def size_for(spark: SparkSession, input_bytes: int) -> None:
+    """Cut scans and shuffles for an input of this size.
+
+    Adaptive execution merges reduce partitions that turn out small but never
+    adds any, so the first number has to fit the largest shuffle. A setting
+    that is already higher stays.
+    """
+    tasks, size = task_layout(input_bytes)
+    planned = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    initial = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    spark.conf.set(initial, str(max(planned, tasks)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(size))
+
+
 def shared_dir(spark: SparkSession, *parts: str) -> str:
     """A folder all executors reach: below the one the cluster names.
 

@@ -2,11 +2,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from playlake import fixed
+from playlake.__main__ import main
 from playlake.operators import views
 from playlake.plans.batch import run_batch
 from playlake.plans.serving import load_catalog, run_serving
 from playlake.schema import EVENT_COLUMNS
-from playlake.session import CHECKPOINT_SETTING, fresh_dir, shared_dir
+from playlake.session import CHECKPOINT_SETTING, fresh_dir, shared_dir, size_for, task_layout
 from playlake.sources import catalog, files, testdata
 from tests.conftest import SMALL, TINY, event, rows
 
@@ -142,3 +143,43 @@ def test_flat_and_stream_sources_map_alike(spark):
     stream = testdata.event_stream(spark, TINY)
     assert stream.isStreaming
     assert stream.schema.simpleString() == testdata.event_plays(spark, TINY).schema.simpleString()
+
+
+def test_task_layout_grows_tasks_only_beyond_the_limit():
+    assert task_layout(1) == (1, 128 << 20)
+    assert task_layout(1 << 40) == (8192, 128 << 20)
+    tasks, size = task_layout(100 * 10**12)
+    assert tasks <= 32_768 and tasks * size >= 100 * 10**12 and size < 4 << 30
+
+
+def test_sizing_never_lowers_the_setting(spark):
+    initial = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    splits = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(splits)
+    try:
+        size_for(spark, 10 << 30)
+        assert spark.conf.get(initial) == "80"
+        size_for(spark, 1)
+        assert spark.conf.get(initial) == spark.conf.get("spark.sql.shuffle.partitions")
+    finally:
+        spark.conf.unset(initial)
+        spark.conf.set(splits, before)
+
+
+def test_command_line(spark, store, tmp_path):
+    base, _ = store
+    out = str(tmp_path)
+    main(["batch", "--raw", f"{base}/raw", "--store", f"{out}/store", "--no-models"])
+    main(["serve", "--store", f"{out}/store", "--speed", f"{base}/speed", "--export", f"{out}/export"])
+    main(["export-json", "--clean", f"{out}/store/clean", "--json", f"{out}/json"])
+    main(["counts", "--json", f"{out}/json", "--out", f"{out}/counts"])
+    clean = files.read_events(spark, f"{out}/store/clean")
+    by_artist = files.read_view(spark, f"{out}/counts/top_artists")
+    assert by_artist.agg(F.sum("count")).first()[0] == clean.count()
+    assert files.read_view(spark, f"{out}/counts/artist_keys").columns == ["key", "n"]
+    spark.sql("USE default")
+    main([
+        "catalog", "--database", "lake_cli", "--location", fresh_dir(spark, "db"),
+        "--clean", f"{out}/store/clean", "--speed", f"{base}/speed", "--flat-speed",
+    ])
+    assert spark.table("lake_cli.merged_top_songs").count() > 0
