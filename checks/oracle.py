@@ -206,6 +206,10 @@ dataset AS (
   FROM features JOIN time_labels USING (userId), rate, bars
 )"""
 
+SCORED = (
+    "userId, label, total_plays, unique_artists, active_days, plays_per_day, avg_duration, level"
+)
+
 MERGED = f"""{LAYERS},
 merged AS (
   SELECT {PAYLOAD}, 'batch' AS data_source FROM batch
@@ -359,6 +363,9 @@ def statements() -> dict[str, str]:
             WHEN probability >= 0.4 THEN 'Medium' ELSE 'Low' END AS risk_level
             FROM (SELECT userId, {rnd("avg(duration) / 100", 2)} AS probability
                   FROM clean GROUP BY userId) p"""),
+        "segmented_users": _clean(USER_FEATURES),
+        "scored_users": _with(CLEAN + DATASET, f"SELECT {SCORED} FROM dataset"),
+        "scored_users_orders": _with(ORDER_CLEAN + DATASET, f"SELECT {SCORED} FROM dataset"),
         "catalog_play_events": _with(LAYERS, f"SELECT {EVENT} FROM batch"),
         "catalog_streaming_events": _with(LAYERS, f"SELECT {EVENT} FROM speed"),
         "sql_top_songs": _with(LAYERS, _top(songs, 100, "song", "artist")),
@@ -431,6 +438,9 @@ def statements() -> dict[str, str]:
         "stream_window_top_songs": _with(STREAMED, f"""SELECT w.* FROM ({WINDOWS.replace("{0}", "streamed")}) w
             WHERE window_end <= (SELECT max(event_ts) FROM streamed) - INTERVAL 2 MINUTE"""),
         "window_top_songs": _clean(WINDOWS),
+        "stream_level_plays": _with(
+            STREAMED, "SELECT level, count(*) AS plays FROM streamed GROUP BY level"
+        ),
         "count_by_artist_key": _with(PLAIN, """SELECT artist AS key, count(*) AS n FROM plain
             WHERE artist <> '' GROUP BY artist"""),
         "count_by_hour_key": _with(PLAIN, """SELECT lpad(CAST((ts // 3600000) % 24 AS VARCHAR), 2, '0')

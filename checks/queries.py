@@ -150,22 +150,36 @@ def _churn_dataset(habits_of: Query, events_of: Query) -> Query:
     return run
 
 
-def _segments(part: int) -> Query:
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return models.run_segments(spark, cleaned(spark, sf_dir), fresh_dir(spark, "segments"))[part]
+def _model_run(name: str, run: Callable[..., object], events_of: Query) -> Callable[[str], Query]:
+    """Queries on the tables of a model run that is done once per session."""
 
-    return run
+    def table(output: str) -> Query:
+        def read(spark: SparkSession, sf_dir: str) -> DataFrame:
+            key = (spark.sparkContext.applicationId, sf_dir, name)
+            if key not in _tables:
+                store = fresh_dir(spark, name)
+                run(spark, events_of(spark, sf_dir), store)
+                _tables[key] = store
+            return files.read_view(spark, f"{_tables[key]}/{output}")
 
+        return read
 
-def _churn(part: int, events_of: Query = cleaned) -> Query:
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return models.run_churn(spark, events_of(spark, sf_dir), fresh_dir(spark, "churn"))[part]
+    return table
 
-    return run
+
+_segments = _model_run("segment_run", models.run_segments, cleaned)
+_churn = _model_run("churn_run", models.run_churn, cleaned)
+_order_churn = _model_run("order_churn_run", models.run_churn, order_clean)
+
+
+def _without(source: Query, *columns: str) -> Query:
+    return lambda spark, sf_dir: source(spark, sf_dir).drop(*columns)
 
 
 def _at_risk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return questions.at_risk_users(_churn(0)(spark, sf_dir), cleaned(spark, sf_dir))
+    return questions.at_risk_users(
+        _churn("churn_predictions")(spark, sf_dir), cleaned(spark, sf_dir)
+    )
 
 
 def _merged_songs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -312,15 +326,20 @@ QUERIES: dict[str, Query] = {
     "churn_rate_orders": _on(_churn_dataset(order_habits, order_clean), features.churn_rate),
     "risk_band": _risk_band,
     # models
-    "user_segments": _segments(0),
-    "segment_profiles": _segments(1),
-    "users_per_segment": _on(_segments(1), questions.users_per_segment),
-    "churn_predictions": _churn(0),
-    "churn_predictions_orders": _churn(0, order_clean),
-    "churn_summary": _churn(1),
-    "churn_summary_orders": _churn(1, order_clean),
-    "churn_risk_counts": _on(_churn(0), churn.churn_risk_counts),
-    "churn_kpi": _on(_churn(1), questions.churn_kpi),
+    "user_segments": _segments("user_segments"),
+    "segmented_users": _without(_segments("user_segments"), "segment", "segment_label"),
+    "segment_profiles": _segments("segment_profiles"),
+    "users_per_segment": _on(_segments("segment_profiles"), questions.users_per_segment),
+    "churn_predictions": _churn("churn_predictions"),
+    "churn_predictions_orders": _order_churn("churn_predictions"),
+    "scored_users": _without(_churn("churn_predictions"), "churn_probability", "risk_level"),
+    "scored_users_orders": _without(
+        _order_churn("churn_predictions"), "churn_probability", "risk_level"
+    ),
+    "churn_summary": _churn("churn_summary"),
+    "churn_summary_orders": _order_churn("churn_summary"),
+    "churn_risk_counts": _on(_churn("churn_predictions"), churn.churn_risk_counts),
+    "churn_kpi": _on(_churn("churn_summary"), questions.churn_kpi),
     # catalog and SQL views
     "catalog_play_events": _sql(lambda db: db.table(catalog.BATCH_TABLE)),
     "catalog_streaming_events": _sql(lambda db: db.table(catalog.SPEED_TABLE)),
@@ -352,6 +371,7 @@ QUERIES: dict[str, Query] = {
     "stream_window_top_songs": _stream_window,
     "window_top_songs": _window_batch,
     "stream_level_summary": _stream_level_summary,
+    "stream_level_plays": _without(_stream_level_summary, "active_users", "unique_artists"),
     # keyed counts
     "count_by_artist_key": _on(plain, counts.count_by_artist_key),
     "count_by_hour_key": _on(plain, counts.count_by_hour_key),
