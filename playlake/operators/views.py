@@ -30,38 +30,42 @@ def top(view: DataFrame, measure: str, rows: int, *ties: str) -> DataFrame:
     return view.orderBy(F.desc(measure), *[F.asc(t) for t in ties]).limit(rows)
 
 
-def overview(events: DataFrame) -> DataFrame:
+def overview(events: DataFrame, approx: bool = False) -> DataFrame:
+    """Totals of all plays; ``approx`` counts distinct values by sketch, in one pass."""
+    count = approx_distinct if approx else distinct
     return summarise(
         events,
         [],
         total_plays=plays,
-        unique_users=distinct("userId"),
-        unique_artists=distinct("artist"),
-        unique_songs=distinct("song"),
-        total_sessions=distinct("sessionId"),
+        unique_users=count("userId"),
+        unique_artists=count("artist"),
+        unique_songs=count("song"),
+        total_sessions=count("sessionId"),
         avg_duration_sec=mean_seconds,
         min_duration_sec=lambda df: half_up(F.min("duration"), 1),
         max_duration_sec=lambda df: half_up(F.max("duration"), 1),
     )
 
 
-def top_songs(facts: DataFrame) -> DataFrame:
+def top_songs(facts: DataFrame, approx: bool = False) -> DataFrame:
+    count = approx_distinct if approx else distinct
     return summarise(
         facts,
         ["song", "artist"],
         play_count=plays,
-        unique_listeners=distinct("userId"),
+        unique_listeners=count("userId"),
         avg_duration_sec=mean_seconds,
     )
 
 
-def top_artists(facts: DataFrame) -> DataFrame:
+def top_artists(facts: DataFrame, approx: bool = False) -> DataFrame:
+    count = approx_distinct if approx else distinct
     return summarise(
         facts,
         ["artist"],
         play_count=plays,
-        unique_listeners=distinct("userId"),
-        unique_songs=distinct("song"),
+        unique_listeners=count("userId"),
+        unique_songs=count("song"),
     )
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from playlake import fixed
 from playlake.operators import clean as cleaning
@@ -21,6 +21,9 @@ def run_batch(
 ) -> dict[str, int]:
     """Rebuild the store from raw events; returns rows written per table.
 
+    ``raw`` and ``dropped`` are added to the counts; they come from the page
+    distribution and the clean table, not from scans of their own.
+
     Give the size of the raw table to cut scans and shuffles for it; without
     it the cluster's settings apply.
 
@@ -45,7 +48,9 @@ def run_batch(
     sessions = put("session_stats", views.session_stats(clean))
 
     put("overview", views.overview(clean))
-    put("page_dist", views.page_dist(raw))
+    pages = put("page_dist", views.page_dist(raw))
+    written["raw"] = pages.agg(F.sum("event_count")).first()[0]
+    written["dropped"] = written["raw"] - written["clean"]
     songs = put("top_songs", views.top_songs(tracks))
     artists = put("top_artists", views.top_artists(tracks))
     put("top10_songs", views.top(songs, "play_count", fixed.TOP_VIEW, "song", "artist"))

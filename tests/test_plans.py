@@ -29,6 +29,8 @@ def test_batch_run_writes_every_view(spark, store):
         assert files.read_view(spark, f"{base}/store/{name}").columns
     clean = files.read_events(spark, f"{base}/store/clean")
     assert written["clean"] == clean.count()
+    raw = files.read_events(spark, f"{base}/raw").count()
+    assert (written["raw"], written["dropped"]) == (raw, raw - clean.count())
     assert rows(files.read_view(spark, f"{base}/store/top_songs")) == rows(views.top_songs(clean))
     assert rows(files.read_view(spark, f"{base}/store/retention")) == rows(views.retention(clean))
     assert files.read_view(spark, f"{base}/store/top10_songs").count() == 10

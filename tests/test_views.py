@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from checks.queries import cleaned, order_clean
 from playlake.functions.labels import user_type
-from playlake.operators import counts, questions, views
+from playlake.operators import clean, counts, features, questions, views
 from tests.conftest import SMALL, event, plan, rows
 
 
@@ -102,6 +102,17 @@ def test_approximate_listeners_stay_near_the_exact_count(spark):
     assert both.filter(off > 3 * 0.05 * F.col("unique_listeners") + 1).count() == 0
 
 
+def test_sketches_are_an_option_of_exact_views(spark):
+    df = order_clean(spark, SMALL)
+    for view in (views.overview, views.top_songs, views.top_artists):
+        exact, sketched = view(df), view(df, approx=True)
+        assert sketched.dtypes == exact.dtypes
+        assert sketched.count() == exact.count()
+        assert plan(sketched).count("FileScan") == 1  # one pass, however many counts
+    row, near = views.overview(df).first(), views.overview(df, approx=True).first()
+    assert abs(row["unique_users"] - near["unique_users"]) <= 0.15 * row["unique_users"]
+
+
 def test_keyed_counts_drop_missing_keys(plays):
     df = plays(event(), event(artist=""), event(artist=None, userId=None), event(ts=0), event(None))
     assert rows(counts.count_by_artist_key(df)) == [("A", 3)]
@@ -147,3 +158,21 @@ def test_plans_prune_and_avoid_row_copies(spark):
     assert "ReadSchema: struct<userId:int,level:string>" in plan(views.distinct_user_levels(df))
     assert "TakeOrderedAndProject" in plan(views.top10_songs(df))
     assert "firstName" not in plan(views.top_songs(df))
+
+
+def test_every_shuffle_of_events_carries_partial_results(spark):
+    """A hot key leaves each task as one row per group, never as its events."""
+    df = cleaned(spark, SMALL)
+    held = [
+        views.overview, views.top_songs, views.top_artists, views.top_locations, views.plays_by_hour,
+        views.level_stats, views.gender_stats, views.level_ratio, views.session_stats,
+        views.retention, views.active_users_ts, views.first_play, features.user_features,
+        features.churn_features, features.churn_labels_time, counts.count_by_artist_key, clean.dedup,
+    ]
+    for view in held:
+        lines = plan(view(df)).splitlines()
+        shuffles = [i for i, line in enumerate(lines) if "Exchange hashpartitioning" in line]
+        assert shuffles, view.__name__
+        for i in shuffles:
+            below = lines[i + 1]
+            assert "Aggregate" in below or "Union" in below, (view.__name__, below)
