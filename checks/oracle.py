@@ -156,6 +156,16 @@ SESSIONS = f"""SELECT userId, sessionId, count(*) AS songs_per_session,
   {rnd("(epoch_us(max(event_ts)) // 1000000 - epoch_us(min(event_ts)) // 1000000) / 60", 1)}
     AS session_duration_min
   FROM {{0}} GROUP BY userId, sessionId"""
+USER_SHARE = (
+    "count(DISTINCT userId) / (SELECT count(*) FROM (SELECT DISTINCT userId, level FROM {0})) * 100"
+)
+LEVEL_RATIO = f"""SELECT level, count(*) AS play_count, count(DISTINCT userId) AS user_count,
+  {AVG_SECONDS}, {HOURS},
+  {rnd(USER_SHARE, 1)} AS user_pct
+  FROM {{0}} GROUP BY level"""
+SESSION_DIST = f"""SELECT songs_per_session, count(*) AS session_count,
+  {rnd("avg(session_minutes)", 1)} AS avg_session_minutes
+  FROM ({SESSIONS}) s GROUP BY songs_per_session"""
 # Join form of retention: every play beside its user's first day.
 RETENTION = """SELECT play_date, user_type, count(DISTINCT userId) AS user_count, count(*) AS play_count
   FROM (SELECT userId, CAST(event_ts AS DATE) AS play_date,
@@ -266,7 +276,7 @@ def statements() -> dict[str, str]:
     active_batch = ACTIVE.format("batch", "event_ts")
     active_speed = ACTIVE.format("speed", "ingestion_time")
     raw_plays = "(SELECT * FROM raw WHERE page = 'NextSong')"
-    return {
+    found = {
         "scan_events": _with(RAW, f"SELECT {EVENT} FROM raw"),
         "json_roundtrip": _clean(f"""SELECT {PAYLOAD},
             date_trunc('millisecond', event_ts) AS event_ts, kafka_timestamp, ingestion_time
@@ -305,14 +315,9 @@ def statements() -> dict[str, str]:
             count(DISTINCT userId) AS user_count, {AVG_SECONDS} FROM clean GROUP BY gender"""),
         "top10_songs": _clean(_top(TOP_SONGS, 10, "song", "artist")),
         "top10_artists": _clean(_top(TOP_ARTISTS, 10, "artist")),
-        "level_ratio": _clean(f"""SELECT level, count(*) AS play_count,
-            count(DISTINCT userId) AS user_count, {AVG_SECONDS}, {HOURS},
-            {rnd("count(DISTINCT userId) / (SELECT count(*) FROM (SELECT DISTINCT userId, level FROM clean)) * 100", 1)}
-              AS user_pct FROM clean GROUP BY level"""),
+        "level_ratio": _clean(LEVEL_RATIO),
         "session_stats": _clean(SESSIONS),
-        "session_dist": _clean(f"""SELECT songs_per_session, count(*) AS session_count,
-            {rnd("avg(session_minutes)", 1)} AS avg_session_minutes
-            FROM ({SESSIONS}) s GROUP BY songs_per_session"""),
+        "session_dist": _clean(SESSION_DIST),
         "first_play": _clean(
             "SELECT userId, min(CAST(event_ts AS DATE)) AS first_play_date FROM clean GROUP BY userId"
         ),
@@ -469,3 +474,18 @@ def statements() -> dict[str, str]:
             UNION ALL SELECT *, 'speed' AS layer FROM ({active_speed}) s"""),
         "top_artist": _clean(_top(TOP_ARTISTS, 1, "artist")),
     }
+    stored = {
+        "overview": OVERVIEW,
+        "top_songs": TOP_SONGS,
+        "top_artists": TOP_ARTISTS,
+        "plays_by_hour": BY_HOUR,
+        "level_ratio": LEVEL_RATIO,
+        "session_dist": SESSION_DIST,
+        "retention": RETENTION,
+    }
+    for name, select in stored.items():
+        found[f"stored_{name}"] = _with(LAYERS, select.replace("{0}", "batch"))
+    found["served_top10_songs"] = _with(LAYERS, _top(songs, 10, "song", "artist"))
+    for name in ("speed_summary", "merged_top_songs", "merged_top_artists", "merged_active_ts"):
+        found[f"served_{name}"] = found[name]
+    return found

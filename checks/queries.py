@@ -6,11 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from playlake import fixed
 from playlake.functions.labels import risk_band
 from playlake.functions.numbers import half_up
 from playlake.operators import churn, clean, counts, features, merge, questions, segments, views
 from playlake.plans import models
-from playlake.plans.serving import load_catalog
+from playlake.plans.batch import run_batch
+from playlake.plans.serving import load_catalog, run_serving
 from playlake.schema import PAYLOAD_COLUMNS
 from playlake.session import fresh_dir, prepare
 from playlake.sources import catalog, files, messages, testdata
@@ -150,8 +152,8 @@ def _churn_dataset(habits_of: Query, events_of: Query) -> Query:
     return run
 
 
-def _model_run(name: str, run: Callable[..., object], events_of: Query) -> Callable[[str], Query]:
-    """Queries on the tables of a model run that is done once per session."""
+def _stored_run(name: str, run: Callable[..., object], events_of: Query) -> Callable[[str], Query]:
+    """Queries on the tables of a run that is done once per session."""
 
     def table(output: str) -> Query:
         def read(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -167,9 +169,27 @@ def _model_run(name: str, run: Callable[..., object], events_of: Query) -> Calla
     return table
 
 
-_segments = _model_run("segment_run", models.run_segments, cleaned)
-_churn = _model_run("churn_run", models.run_churn, cleaned)
-_order_churn = _model_run("order_churn_run", models.run_churn, order_clean)
+_segments = _stored_run("segment_run", models.run_segments, cleaned)
+_churn = _stored_run("churn_run", models.run_churn, cleaned)
+_order_churn = _stored_run("order_churn_run", models.run_churn, order_clean)
+
+
+def _run_layers(spark: SparkSession, raw_events: DataFrame, base: str) -> None:
+    """A whole batch run over the older raw events, then a serving run with the newer plays."""
+    older = raw_events.filter(testdata.speed_start(batch=True))
+    newer = plays_only(raw_events.filter(testdata.speed_start(batch=False)))
+    files.write_parquet(older, f"{base}/raw")
+    files.write_parquet(newer, f"{base}/speed")
+    run_batch(spark, f"{base}/raw", f"{base}/store", models=False)
+    names = [name for name in fixed.PUBLISHED_VIEWS if name not in fixed.MODEL_VIEWS]
+    run_serving(spark, f"{base}/store", f"{base}/speed", f"{base}/export", names=names)
+
+
+def plays_only(events: DataFrame) -> DataFrame:
+    return clean.drop_incomplete(clean.filter_page(events))
+
+
+_layers = _stored_run("layers", _run_layers, plain)
 
 
 def _without(source: Query, *columns: str) -> Query:
@@ -365,6 +385,19 @@ QUERIES: dict[str, Query] = {
     "merged_top_songs": _merged_songs,
     "merged_top_artists": _merged_artists,
     "merged_active_ts": _merged_hours,
+    # tables written by whole batch and serving runs
+    "stored_overview": _layers("store/overview"),
+    "stored_top_songs": _layers("store/top_songs"),
+    "stored_top_artists": _layers("store/top_artists"),
+    "stored_plays_by_hour": _layers("store/plays_by_hour"),
+    "stored_level_ratio": _layers("store/level_ratio"),
+    "stored_session_dist": _layers("store/session_dist"),
+    "stored_retention": _layers("store/retention"),
+    "served_top10_songs": _layers("export/top10_songs"),
+    "served_speed_summary": _layers("export/speed_summary"),
+    "served_merged_top_songs": _layers("export/merged_top_songs"),
+    "served_merged_top_artists": _layers("export/merged_top_artists"),
+    "served_merged_active_ts": _layers("export/merged_active_ts"),
     # stream
     "stream_append": _stream_append("speed"),
     "stream_append_raw": _stream_append("raw"),

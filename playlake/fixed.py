@@ -56,3 +56,4 @@ PUBLISHED_VIEWS = [
     "churn_predictions",
     "churn_summary",
 ]
+MODEL_VIEWS = ["segment_profiles", "user_segments", "churn_predictions", "churn_summary"]

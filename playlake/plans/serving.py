@@ -21,14 +21,21 @@ def speed_events(spark: SparkSession, path: str) -> DataFrame:
 
 
 def run_serving(
-    spark: SparkSession, store: str, speed_path: str, target: str, overlap: bool = False
+    spark: SparkSession,
+    store: str,
+    speed_path: str,
+    target: str,
+    overlap: bool = False,
+    names: list[str] = fixed.PUBLISHED_VIEWS,
 ) -> dict[str, int | None]:
     """Write all published, speed and merged views below ``target``.
 
+    ``names`` are the stored views to publish; missing ones are skipped.
+
     Speed rows up to the newest batch row are left out of the merge, because
     the batch layer holds them already; ``overlap=True`` adds them on top.
     """
-    written = publish(spark, store, target, fixed.PUBLISHED_VIEWS)
+    written = publish(spark, store, target, names)
     batch = read_events(spark, f"{store}/clean")
     speed = speed_events(spark, speed_path)
     if not overlap:
