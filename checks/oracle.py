@@ -325,8 +325,8 @@ def statements() -> dict[str, str]:
         "active_users_ts": _clean(ACTIVE.format("clean", "event_ts")),
         "distinct_user_levels": _clean("SELECT DISTINCT userId, level FROM clean"),
         "listener_tracks": _clean(f"""SELECT userId, level, gender, location, artist, song,
-            count(*) AS plays, {rnd("sum(duration)", 6)} AS seconds, count(duration) AS timed
-            FROM clean GROUP BY ALL"""),
+            count(*) AS plays, {rnd("sum(duration)", 6)} AS seconds, count(duration) AS timed,
+            max(event_ts) AS last_seen FROM clean GROUP BY ALL"""),
         "listener_hours": _clean(f"""SELECT userId, CAST(date_trunc('hour', event_ts) AS TIMESTAMP)
             AS hour_bucket, count(*) AS plays, {rnd("sum(duration)", 6)} AS seconds,
             count(duration) AS timed FROM clean GROUP BY ALL"""),
@@ -336,6 +336,7 @@ def statements() -> dict[str, str]:
         "orders_session_stats": _order(SESSIONS),
         "orders_user_features": _order(USER_FEATURES),
         "user_features": _clean(USER_FEATURES),
+        "user_features_of_tables": _clean(USER_FEATURES),
         "profile_by_level": _clean(f"""SELECT level, count(*) AS user_count,
             {rnd("avg(total_plays)", 0)} AS avg_plays, {rnd("avg(unique_artists)", 0)} AS avg_artists,
             {rnd("avg(active_days)", 0)} AS avg_active_days,

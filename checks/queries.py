@@ -169,7 +169,16 @@ def _stored_run(name: str, run: Callable[..., object], events_of: Query) -> Call
     return table
 
 
-_segments = _stored_run("segment_run", models.run_segments, cleaned)
+def _user_features_of_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held = cleaned(spark, sf_dir)
+    return features.user_features_of_tables(
+        views.listener_tracks(held), views.listener_hours(held), views.session_stats(held)
+    )
+
+
+_segments = _stored_run(
+    "segment_run", models.run_segments, _on(cleaned, features.user_features)
+)
 _churn = _stored_run("churn_run", models.run_churn, cleaned)
 _order_churn = _stored_run("order_churn_run", models.run_churn, order_clean)
 
@@ -331,6 +340,7 @@ QUERIES: dict[str, Query] = {
     "orders_user_features": _on(order_clean, features.user_features),
     # features and labels
     "user_features": _on(cleaned, features.user_features),
+    "user_features_of_tables": _user_features_of_tables,
     "profile_by_level": _on(
         cleaned, lambda df: segments.segment_profiles(features.user_features(df), "level")
     ),

@@ -36,6 +36,10 @@ def timed(df: DataFrame) -> Column:
     return F.sum("timed") if is_tally(df) else F.count("duration")
 
 
+def last_seen(df: DataFrame) -> Column:
+    return F.max("last_seen" if is_tally(df) else "event_ts")
+
+
 def mean_seconds(df: DataFrame) -> Column:
     return half_up(F.try_divide(seconds(df), timed(df)), 1)
 
@@ -95,6 +99,6 @@ def summarise(df: DataFrame, keys: list[str], **measures: Measure) -> DataFrame:
     return combine(keys, parts).select(*keys, *measures)
 
 
-def tally(df: DataFrame, *keys: str) -> DataFrame:
-    """Roll events or a finer tally up to ``keys``."""
-    return summarise(df, list(keys), plays=plays, seconds=seconds, timed=timed)
+def tally(df: DataFrame, *keys: str, **more: Measure) -> DataFrame:
+    """Roll events or a finer tally up to ``keys``, with ``more`` additive measures."""
+    return summarise(df, list(keys), plays=plays, seconds=seconds, timed=timed, **more)

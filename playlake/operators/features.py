@@ -6,7 +6,15 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from playlake import fixed
 from playlake.functions.labels import low_engagement
-from playlake.functions.measures import Measure, combine, distinct, mean_seconds, plays, summarise
+from playlake.functions.measures import (
+    Measure,
+    combine,
+    distinct,
+    last_seen,
+    mean_seconds,
+    plays,
+    summarise,
+)
 from playlake.functions.numbers import half_up
 from playlake.functions.times import with_play_date
 from playlake.operators.clean import cutoff, time_split
@@ -21,9 +29,9 @@ HABIT_COLUMNS = [
 ]
 
 
-def latest_level(events: DataFrame) -> DataFrame:
+def latest_level(facts: DataFrame) -> DataFrame:
     """userId -> level of the user's last event."""
-    held = events.groupBy("userId", "level").agg(F.max("event_ts").alias("last_seen"))
+    held = facts.groupBy("userId", "level").agg(last_seen(facts).alias("last_seen"))
     last = F.max_by("level", F.struct("last_seen", "level"))
     return held.groupBy("userId").agg(last.alias("level"))
 
@@ -54,6 +62,26 @@ def user_features(events: DataFrame) -> DataFrame:
     return _habits(events)
 
 
+def user_features_of_tables(tracks: DataFrame, hours: DataFrame, sessions: DataFrame) -> DataFrame:
+    """:func:`user_features` from the tables a batch run already holds.
+
+    Sessions are one row per (user, session) there, so counting them needs no
+    distinct; the other counts run over tallies instead of events.
+    """
+    heard = summarise(
+        tracks,
+        ["userId"],
+        total_plays=plays,
+        unique_artists=distinct("artist"),
+        unique_songs=distinct("song"),
+        avg_duration=mean_seconds,
+    )
+    visits = sessions.groupBy("userId").agg(F.count("sessionId").alias("total_sessions"))
+    days = summarise(with_play_date(hours), ["userId"], active_days=distinct("play_date"))
+    whole = combine(["userId"], [heard, visits, days, latest_level(tracks)])
+    return whole.select("userId", *HABIT_COLUMNS, "level")
+
+
 def churn_features(events: DataFrame) -> DataFrame:
     """Habits in the early period, with the span and rate of listening."""
     early, _ = time_split(events)

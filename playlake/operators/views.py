@@ -15,6 +15,7 @@ from playlake.functions.measures import (
     approx_distinct,
     distinct,
     hours_played,
+    last_seen,
     mean_seconds,
     minutes_played,
     plays,
@@ -208,8 +209,12 @@ def approx_listeners(facts: DataFrame) -> DataFrame:
 
 
 def listener_tracks(events: DataFrame) -> DataFrame:
-    """Tally behind the song, artist, level, gender and location views."""
-    return tally(events, "userId", "level", "gender", "location", "artist", "song")
+    """Tally behind the song, artist, level, gender and location views.
+
+    ``last_seen`` tells which level of a user is the latest.
+    """
+    keys = ["userId", "level", "gender", "location", "artist", "song"]
+    return tally(events, *keys, last_seen=last_seen)
 
 
 def listener_hours(events: DataFrame) -> DataFrame:

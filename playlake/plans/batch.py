@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from playlake import fixed
 from playlake.operators import clean as cleaning
-from playlake.operators import views
+from playlake.operators import features, views
 from playlake.plans.models import run_churn, run_segments
 from playlake.session import prepare, size_for
 from playlake.sources.files import read_events, read_view, require_events, write_parquet
@@ -27,9 +27,10 @@ def run_batch(
     Give the size of the raw table to cut scans and shuffles for it; without
     it the cluster's settings apply.
 
-    Events are scanned for the clean table, the two tallies, the sessions and
-    the overview. All other views read those much smaller tables, and every
-    step hands over through files, so a lost executor repeats one step only.
+    Events are scanned for the clean table, the two tallies, the sessions, the
+    overview and the early-period features. All other views and the segments
+    read those smaller tables, and every step hands over through files, so a
+    lost executor repeats one step only.
     """
     prepare(spark)
     if input_bytes:
@@ -65,6 +66,6 @@ def run_batch(
     put("retention", views.retention(hours))
     put("session_dist", views.session_dist(sessions))
     if models:
-        run_segments(spark, clean, store)
+        run_segments(spark, features.user_features_of_tables(tracks, hours, sessions), store)
         run_churn(spark, clean, store)
     return written

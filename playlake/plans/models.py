@@ -20,11 +20,11 @@ def _by_user(df: DataFrame) -> DataFrame:
     return df.sortWithinPartitions("userId")
 
 
-def run_segments(spark: SparkSession, clean: DataFrame, store: str) -> tuple[DataFrame, DataFrame]:
+def run_segments(spark: SparkSession, users: DataFrame, store: str) -> tuple[DataFrame, DataFrame]:
     """Write user_features, user_segments and segment_profiles."""
-    users = _stored(spark, _by_user(features.user_features(clean)), f"{store}/user_features")
-    model = segments.fit_segments(users)
-    named = _stored(spark, segments.user_segments(model, users), f"{store}/user_segments")
+    held = _stored(spark, _by_user(users), f"{store}/user_features")
+    model = segments.fit_segments(held)
+    named = _stored(spark, segments.user_segments(model, held), f"{store}/user_segments")
     profiles = segments.segment_profiles(named)
     return named, _stored(spark, profiles, f"{store}/segment_profiles")
 

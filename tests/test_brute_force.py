@@ -198,6 +198,8 @@ def test_user_features(cleaned):
             )
         )
     assert rows(features.user_features(frame)) == in_order(want)
+    tables = views.listener_tracks(frame), views.listener_hours(frame), views.session_stats(frame)
+    assert rows(features.user_features_of_tables(*tables)) == in_order(want)
 
 
 def test_time_labels(cleaned):

@@ -18,7 +18,7 @@ def orders_churn(spark, tmp_path_factory):
 @pytest.fixture(scope="module")
 def listener_segments(spark, tmp_path_factory):
     store = str(tmp_path_factory.mktemp("segments"))
-    return run_segments(spark, cleaned(spark, SMALL), store)
+    return run_segments(spark, features.user_features(cleaned(spark, SMALL)), store)
 
 
 def set_form_labels(df):
@@ -106,7 +106,7 @@ def test_more_segments_than_names(spark):
 def test_segments_survive_missing_levels_and_durations(spark, plays, tmp_path):
     users = [event(userId=n, song=f"s{n % 7}") for n in range(1, 40) for _ in range(n % 5 + 1)]
     odd = [event(userId=90, level=None), event(userId=91, duration=None), event(userId=None)]
-    named, _ = run_segments(spark, plays(*users, *odd), str(tmp_path))
+    named, _ = run_segments(spark, features.user_features(plays(*users, *odd)), str(tmp_path))
     assert named.count() == 42
 
 
