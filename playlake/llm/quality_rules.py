@@ -124,8 +124,8 @@ def measured(table: DataFrame, keep: Column) -> DataFrame:
     ).startswith(marks[2]) | x.endswith(marks[3]) | x.endswith(marks[4])
     return fourth.select(
         "kept_row",
-        # Not deterministic for Spark, so a filter on measures stays above and does
-        # not repeat their expressions below.
+        # Not deterministic for Spark, so a filter that reads it stays above this
+        # projection instead of repeating its expressions below.
         F.monotonically_increasing_id().alias("place"),
         words.cast("long").alias("n_words"),
         "word_chars",
@@ -142,7 +142,7 @@ def measured(table: DataFrame, keep: Column) -> DataFrame:
     )
 
 
-def _verdicts(measures: DataFrame) -> tuple[Column, Column]:
+def _verdicts() -> tuple[Column, Column]:
     failed = (F.col("n_words") < MIN_WORDS) | (
         100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words")
     )
@@ -155,7 +155,7 @@ def _verdicts(measures: DataFrame) -> tuple[Column, Column]:
 def judged(table: DataFrame) -> DataFrame:
     """One row per text: the base measures, ``base_failed``, ``kept`` and the ratios."""
     measures = measured(table, F.col("doc_id"))
-    failed, kept = _verdicts(measures)
+    failed, kept = _verdicts()
     return measures.select(
         F.col("kept_row").alias("doc_id"),
         "n_words",
@@ -171,4 +171,5 @@ def judged(table: DataFrame) -> DataFrame:
 def keep_good(table: DataFrame) -> DataFrame:
     """The rows of ``table`` that pass, with their columns as they were."""
     measures = measured(table, F.struct(*[F.col(f"`{c}`") for c in table.columns]))
-    return measures.filter(_verdicts(measures)[1]).select("kept_row.*")
+    good = _verdicts()[1] & (F.col("place") >= 0)  # see ``place``: always true
+    return measures.filter(good).select("kept_row.*")
