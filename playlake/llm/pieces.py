@@ -142,6 +142,10 @@ class Codec:
             crossing or own or self.normalizer.map or spec.remove_extra_whitespaces or not spec.add_dummy_prefix
         )
         self.kept: dict[bytes, tuple] = {}
+        # A last space alone: the library gets nothing of it, and gives nothing.
+        space = self.library.piece_to_id("▁")
+        self.last_space = {b"": ([space], str(space), [0])}
+        self.kept |= self.last_space
 
     def _spans(self, ids: list[int], source: list[int], skip: int) -> list[int]:
         """End of each piece's source bytes; ``skip`` bytes were put before the text."""
@@ -162,7 +166,7 @@ class Codec:
     def prepare(self, found: list[bytes]) -> list[list[bytes]]:
         """Chunks of each text, all of them encoded in the table from here on."""
         if len(self.kept) > KEPT_CHUNKS:
-            self.kept = {}
+            self.kept = dict(self.last_space)
         chunks = [
             self._chunks(text) if self.chunked and SPACE not in text else [text] if text else [] for text in found
         ]

@@ -209,7 +209,11 @@ def _ranges(starts: np.ndarray, length: int = LENGTH) -> list[Range]:
 
 
 def _joined_parts(rows: list[tuple]) -> list[tuple[int, int, bytes, bool]]:
-    """Segments of one core, those of a text that overlap as one: (rid, start, bytes, any single)."""
+    """(rid, start, bytes, any single): segments of a text that overlap as one part.
+
+    Neighbouring anchors share strings, so a string may stand in several segments;
+    in the parts every place of a text stands once.
+    """
     out: list[tuple[int, int, bytes, bool]] = []
     for rid, start, data, single in sorted(rows, key=lambda r: r[:2]):
         if out and out[-1][0] == rid and start < out[-1][1] + len(out[-1][2]):
@@ -220,41 +224,38 @@ def _joined_parts(rows: list[tuple]) -> list[tuple[int, int, bytes, bool]]:
     return out
 
 
+def _compared(rows: list[tuple]) -> pa.RecordBatch:
+    """Ranges of strings that start in two places of the rows' segments."""
+    parts = _joined_parts(rows)
+    found = repeated_starts([data for _, _, data, _ in parts])
+    begins = np.cumsum([0, *(len(data) + 1 for _, _, data, _ in parts)])
+    cuts = np.searchsorted(found, begins)
+    rids, starts, ends = [], [], []
+    for number, (rid, start, _, single) in enumerate(parts):
+        if single:
+            for a, b in _ranges(found[cuts[number] : cuts[number + 1]] - begins[number]):
+                rids.append(rid)
+                starts.append(start + a)
+                ends.append(start + b)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(rids, pa.int64()), pa.array(starts, pa.int32()), pa.array(ends, pa.int32())], ["rid", "a", "b"]
+    )
+
+
 def _expanded(batches):
-    """Repeated ranges within the segments of each core; rows come ordered by core."""
-    held: list[tuple] = []
+    """Repeated ranges within whole cores, some at a time; rows come ordered by core."""
     rows: list[tuple] = []
-    core = None
-
-    def flush():
-        found = repeated_starts([data for _, _, data, _ in held])
-        begins = np.cumsum([0, *(len(data) + 1 for _, _, data, _ in held)])
-        rids, starts, ends = [], [], []
-        cuts = np.searchsorted(found, begins)
-        for number, (rid, start, _, single) in enumerate(held):
-            if single:
-                for a, b in _ranges(found[cuts[number] : cuts[number + 1]] - begins[number]):
-                    rids.append(rid)
-                    starts.append(start + a)
-                    ends.append(start + b)
-        held.clear()
-        return pa.RecordBatch.from_arrays(
-            [pa.array(rids, pa.int64()), pa.array(starts, pa.int32()), pa.array(ends, pa.int32())],
-            ["rid", "a", "b"],
-        )
-
+    core, size = None, 0
     for batch in batches:
         columns = (batch.column(c).to_pylist() for c in ("core", "rid", "start", "data", "single"))
-        for key, *row in zip(*columns, strict=True):
-            if key != core:
-                held += _joined_parts(rows)
-                rows, core = [], key
-                if sum(len(data) for _, _, data, _ in held) >= TEXT_BYTES:
-                    yield flush()
-            rows.append(tuple(row))
-    held += _joined_parts(rows)
-    if held:
-        yield flush()
+        for key, rid, start, data, single in zip(*columns, strict=True):
+            if key != core and size >= TEXT_BYTES:
+                yield _compared(rows)
+                rows, size = [], 0
+            core, size = key, size + len(data)
+            rows.append((rid, start, data, single))
+    if rows:
+        yield _compared(rows)
 
 
 def _cut_out(batch: pa.RecordBatch) -> pa.RecordBatch:
