@@ -278,9 +278,7 @@ def statements() -> dict[str, str]:
     raw_plays = "(SELECT * FROM raw WHERE page = 'NextSong')"
     found = {
         "scan_events": _with(RAW, f"SELECT {EVENT} FROM raw"),
-        "json_roundtrip": _clean(f"""SELECT {PAYLOAD},
-            date_trunc('millisecond', event_ts) AS event_ts, kafka_timestamp, ingestion_time
-            FROM clean"""),
+        "json_roundtrip": _clean(f"SELECT {EVENT} FROM clean"),
         "parse_json_events": _with(PLAIN, f"SELECT {PAYLOAD}, kafka_timestamp FROM plain"),
         "filter_page": _with(RAW, f"SELECT {EVENT} FROM raw WHERE page = 'NextSong'"),
         "dedup_events": _with(RAW, deduplicated("raw")),

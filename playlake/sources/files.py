@@ -2,12 +2,22 @@
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from playlake.schema import EVENT_COLUMNS, EVENT_DDL
 
 
+log = logging.getLogger(__name__)
+
+# The folders of a stream's output: the stream query, and its micro-batch.
+LANDED_DDL = "run STRING, batch_id BIGINT"
+# Six digits: the default would cut microseconds.
+JSON_TIME = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
+
+
 class NoEventsError(RuntimeError):
     """The raw folder is missing or holds no event."""
 
@@ -20,6 +30,16 @@ def read_events(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(EVENT_DDL).parquet(path).select(*EVENT_COLUMNS)
 
 
+def read_landed(spark: SparkSession, path: str) -> DataFrame:
+    """Event table with the folders a stream wrote it to (null without such folders)."""
+    return spark.read.schema(f"{EVENT_DDL}, {LANDED_DDL}").parquet(path)
+
+
+def is_missing(error: AnalysisException) -> bool:
+    """Whether a read failed because there is no such path, and for no other reason."""
+    return error.getCondition() == "PATH_NOT_FOUND"
+
+
 def no_events(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], EVENT_DDL)
 
@@ -35,7 +55,8 @@ def read_json_events(spark: SparkSession, path: str) -> DataFrame:
     Only the columns a query uses are parsed, so a value of the wrong type
     makes a line malformed for the queries that read that column.
     """
-    return spark.read.schema(EVENT_DDL).option("mode", "DROPMALFORMED").json(path)
+    reader = spark.read.schema(EVENT_DDL).option("mode", "DROPMALFORMED")
+    return reader.option("timestampFormat", JSON_TIME).json(path)
 
 
 def require_events(spark: SparkSession, path: str) -> DataFrame:
@@ -45,6 +66,8 @@ def require_events(spark: SparkSession, path: str) -> DataFrame:
         raw = read_events(spark, path)
         empty = raw.isEmpty()
     except AnalysisException as missing:
+        if not is_missing(missing):
+            raise
         raise NoEventsError(f"no event files below {path}") from missing
     if empty:
         raise NoEventsError(f"no events in {path}")
@@ -68,7 +91,7 @@ def write_parquet(df: DataFrame, path: str, single_file: bool = False) -> int:
 
 def write_json(df: DataFrame, path: str) -> None:
     """Overwrite ``path`` with JSON lines, one file per task."""
-    df.write.mode("overwrite").json(path)
+    df.write.mode("overwrite").option("timestampFormat", JSON_TIME).json(path)
 
 
 def publish(spark: SparkSession, store: str, target: str, names: list[str]) -> dict[str, int | None]:
@@ -77,7 +100,10 @@ def publish(spark: SparkSession, store: str, target: str, names: list[str]) -> d
     for name in names:
         try:
             view = read_view(spark, f"{store}/{name}")
-        except AnalysisException:
+        except AnalysisException as missing:
+            if not is_missing(missing):
+                raise
+            log.warning("no stored view %s below %s: not published", name, store)
             copied[name] = None
             continue
         copied[name] = write_parquet(view, f"{target}/{name}")
