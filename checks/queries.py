@@ -187,8 +187,8 @@ def _run_layers(spark: SparkSession, raw_events: DataFrame, base: str) -> None:
     """A whole batch run over the older raw events, then a serving run with the newer plays."""
     older = raw_events.filter(testdata.speed_start(batch=True))
     newer = plays_only(raw_events.filter(testdata.speed_start(batch=False)))
-    files.write_parquet(older, f"{base}/raw")
-    files.write_parquet(newer, f"{base}/speed")
+    files.write_parquet(older, f"{base}/raw/run=a/batch_id=0")
+    files.write_parquet(newer, f"{base}/speed/run=a/batch_id=1")
     run_batch(spark, f"{base}/raw", f"{base}/store", models=False)
     names = [name for name in fixed.PUBLISHED_VIEWS if name not in fixed.MODEL_VIEWS]
     run_serving(spark, f"{base}/store", f"{base}/speed", f"{base}/export", names=names)

@@ -1,7 +1,7 @@
 """Speed views and the merge of batch and speed results.
 
-The merges add what they are given. Batch and speed inputs should not overlap
-in time (see ``plans.serving``), or events in both are counted twice.
+The merges add what they are given. A micro-batch should be in one of the inputs
+only (see ``plans.serving``), or its events are counted twice.
 """
 
 from __future__ import annotations
@@ -106,10 +106,20 @@ def records_by_source(merged: DataFrame) -> DataFrame:
     return merged.groupBy("data_source").agg(F.count(F.lit(1)).alias("records"))
 
 
-def speed_after(batch: DataFrame, speed: DataFrame) -> DataFrame:
-    """Speed rows later than the newest batch row, so the layers do not overlap."""
-    newest = batch.agg(F.max("ts")).scalar()
-    return speed.filter(F.col("ts") > F.coalesce(newest, F.lit(-1)))
+def landed_until(landed: DataFrame) -> DataFrame:
+    """(run, last_batch): the newest micro-batch of each stream among landed rows."""
+    streams = landed.filter(F.col("run").isNotNull()).groupBy("run")
+    return streams.agg(F.max("batch_id").alias("last_batch"))
+
+
+def speed_after(mark: DataFrame, speed: DataFrame) -> DataFrame:
+    """Speed rows that landed after what a batch run had read, whatever their event time.
+
+    ``mark`` is :func:`landed_until` of that run. Rows of other streams, and rows
+    outside a stream's folders, are all kept.
+    """
+    joined = speed.join(mark, "run", "left")
+    return joined.filter(F.col("last_batch").isNull() | (F.col("batch_id") > F.col("last_batch")))
 
 
 def live_feed(speed: DataFrame, rows: int = fixed.LIVE_ROWS) -> DataFrame:

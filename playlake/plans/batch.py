@@ -6,10 +6,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from playlake import fixed
 from playlake.operators import clean as cleaning
-from playlake.operators import features, views
+from playlake.operators import features, merge, views
 from playlake.plans.models import run_churn, run_segments
+from playlake.schema import EVENT_COLUMNS
 from playlake.session import prepare, size_for
-from playlake.sources.files import read_events, read_view, require_events, write_parquet
+from playlake.sources.files import read_events, read_landed, read_view, require_events, write_parquet
 
 
 def run_batch(
@@ -22,7 +23,8 @@ def run_batch(
     """Rebuild the store from raw events; returns rows written per table.
 
     ``raw`` and ``dropped`` are added to the counts; they come from the page
-    distribution and the clean table, not from scans of their own.
+    distribution and the clean table, not from scans of their own. The table
+    ``landed_until`` marks the micro-batches that were read.
 
     Give the size of the raw table to cut scans and shuffles for it; without
     it the cluster's settings apply.
@@ -35,13 +37,17 @@ def run_batch(
     prepare(spark)
     if input_bytes:
         size_for(spark, input_bytes)
-    raw = require_events(spark, raw_path)
+    require_events(spark, raw_path)
+    # One listing for the mark and the clean table: what lands later is in neither.
+    landed = read_landed(spark, raw_path)
+    raw = landed.select(*EVENT_COLUMNS)
     written: dict[str, int] = {}
 
     def put(name: str, df: DataFrame) -> DataFrame:
         written[name] = write_parquet(df, f"{store}/{name}")
         return read_view(spark, f"{store}/{name}")
 
+    put("landed_until", merge.landed_until(landed))
     put("clean", cleaning.clean_events(raw))
     clean = read_events(spark, f"{store}/clean")
     tracks = put("listener_tracks", views.listener_tracks(clean))

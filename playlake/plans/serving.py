@@ -2,22 +2,38 @@
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from playlake import fixed
 from playlake.operators import merge
+from playlake.schema import EVENT_DDL
 from playlake.sources.catalog import Catalog
-from playlake.sources.files import no_events, publish, read_events, read_view, write_parquet
+from playlake.sources.files import (
+    LANDED_DDL,
+    is_missing,
+    publish,
+    read_events,
+    read_landed,
+    read_view,
+    write_parquet,
+)
 from playlake.streaming.plays import BATCH_FOLDERS
 
+log = logging.getLogger(__name__)
+
 
 def speed_events(spark: SparkSession, path: str) -> DataFrame:
-    """The speed table, or an empty one before the stream has written any."""
+    """The speed table with its folders, or an empty one before the stream has written any."""
     try:
-        return read_events(spark, path)
-    except AnalysisException:
-        return no_events(spark)
+        return read_landed(spark, path)
+    except AnalysisException as missing:
+        if not is_missing(missing):
+            raise
+        log.warning("no speed events below %s", path)
+        return spark.createDataFrame([], f"{EVENT_DDL}, {LANDED_DDL}")
 
 
 def run_serving(
@@ -32,30 +48,33 @@ def run_serving(
 
     ``names`` are the stored views to publish; missing ones are skipped.
 
-    Speed rows up to the newest batch row are left out of the merge, because
-    the batch layer holds them already; ``overlap=True`` adds them on top.
+    Speed views cover the whole speed table. Micro-batches that the batch run had
+    read (it kept a mark of them) are left out of the merges, because the batch
+    layer holds them already; ``overlap=True`` adds them on top. Event times play
+    no part, so late and future-dated events are counted once.
     """
     written = publish(spark, store, target, names)
     batch = read_events(spark, f"{store}/clean")
     speed = speed_events(spark, speed_path)
-    if not overlap:
-        speed = merge.speed_after(batch, speed)
+    fresh = speed if overlap else merge.speed_after(read_view(spark, f"{store}/landed_until"), speed)
 
     def put(name: str, df: DataFrame) -> DataFrame:
         written[name] = write_parquet(df, f"{target}/{name}")
         return read_view(spark, f"{target}/{name}")
 
-    songs = put("speed_top_songs", merge.speed_top_songs(speed))
-    artists = put("speed_top_artists", merge.speed_top_artists(speed))
-    hours = put("speed_active_ts", merge.speed_active_ts(speed))
+    put("speed_top_songs", merge.speed_top_songs(speed))
+    put("speed_top_artists", merge.speed_top_artists(speed))
+    put("speed_active_ts", merge.speed_active_ts(speed))
     put("speed_level", merge.speed_level(speed))
     put("speed_summary", merge.speed_summary(batch, speed))
 
     def published(name: str) -> DataFrame:
         return read_view(spark, f"{store}/{name}")
 
-    put("merged_top_songs", merge.merged_top_songs(published("top_songs"), songs))
+    put("merged_top_songs", merge.merged_top_songs(published("top_songs"), merge.speed_top_songs(fresh)))
+    artists = merge.speed_top_artists(fresh)
     put("merged_top_artists", merge.merged_top_artists(published("top_artists"), artists))
+    hours = merge.speed_active_ts(fresh)
     put("merged_active_ts", merge.merged_active_ts(published("active_users_ts"), hours))
     return written
 

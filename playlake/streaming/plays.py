@@ -17,11 +17,11 @@ from playlake import fixed
 from playlake.functions.measures import approx_distinct, mean_seconds, plays, summarise
 from playlake.operators.clean import drop_incomplete, filter_page, stamp
 from playlake.schema import EVENT_COLUMNS
-from playlake.sources.files import read_events
+from playlake.sources.files import LANDED_DDL, read_events
 from playlake.sources.messages import parse_messages
 
-BATCH_FOLDER = "batch_id"
-BATCH_FOLDERS = f"{BATCH_FOLDER} BIGINT"
+BATCH_FOLDERS = LANDED_DDL
+QUERY_ID = "sql.streaming.queryId"  # lives in the checkpoint: a fresh one gets another id
 
 
 def parsed_events(messages: DataFrame) -> DataFrame:
@@ -82,7 +82,8 @@ def _start(writer: DataStreamWriter, checkpoint: str | None, every: str | None)
 
 def _write_layers(raw_path: str, speed_path: str) -> Callable[[DataFrame, int], None]:
     def write(batch: DataFrame, batch_id: int) -> None:
-        folder = f"{BATCH_FOLDER}={batch_id}"
+        run = batch.sparkSession.sparkContext.getLocalProperty(QUERY_ID)
+        folder = f"run={run}/batch_id={batch_id}"
         batch.write.mode("overwrite").parquet(f"{raw_path}/{folder}")
         # The plays come from the files just written: nothing is cached, and
         # neither the source nor the parser runs a second time.
@@ -103,7 +104,9 @@ def start_ingest(
 
     One query, so the source is read and parsed once for both tables. Each
     micro-batch owns a folder that a repeated batch overwrites: a restart after
-    a failure leaves neither gaps nor copies.
+    a failure leaves neither gaps nor copies. The folder also names the stream,
+    whose id lives with the checkpoint, so a second checkpoint adds to the tables
+    and never replaces what another one landed.
     """
     writer = events.writeStream.foreachBatch(_write_layers(raw_path, speed_path))
     return _start(writer, checkpoint, every)

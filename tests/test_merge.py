@@ -1,5 +1,7 @@
 from datetime import datetime
 
+from pyspark.sql import functions as F
+
 from playlake.operators import merge, views
 from tests.conftest import event, plan, rows
 
@@ -54,11 +56,18 @@ def test_summary_without_speed(plays):
     assert rows(merge.speed_summary(plays(event()), plays())) == [(0, 1, "N/A")]
 
 
-def test_speed_after_removes_the_overlap(plays):
-    batch = plays(event("2024-01-01 10:00:00"), event("2024-01-01 11:00:00"))
-    speed = plays(event("2024-01-01 11:00:00"), event("2024-01-01 11:00:01"))
-    assert merge.speed_after(batch, speed).count() == 1
-    assert merge.speed_after(batch.limit(0), speed).count() == 2
+def test_speed_after_goes_by_landing_not_by_event_time(plays):
+    def landed(run, batch_id, *times):
+        some = plays(*[event(t) for t in times])
+        return some.withColumn("run", F.lit(run)).withColumn("batch_id", F.lit(batch_id))
+
+    seen = landed("a", 0, AT, "2099-01-01 00:00:00").union(landed("a", 1, AT))
+    mark = merge.landed_until(seen)
+    assert rows(mark) == [("a", 1)]
+    late, future = "2020-01-01 00:00:00", "2098-01-01 00:00:00"
+    fresh = landed("a", 2, late, future, None).union(landed("b", 0, AT)).union(landed(None, None, AT))
+    assert merge.speed_after(mark, seen.union(fresh)).count() == fresh.count()
+    assert merge.speed_after(mark.limit(0), seen.union(fresh)).count() == 8
 
 
 def test_merged_events_filter_is_on_the_batch_side(plays):

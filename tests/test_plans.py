@@ -16,10 +16,14 @@ from tests.conftest import SMALL, TINY, event, rows
 def store(spark, tmp_path_factory):
     base = str(tmp_path_factory.mktemp("store"))
     raw = testdata.raw_events(spark, SMALL).filter(testdata.speed_start(batch=True))
-    files.write_parquet(raw, f"{base}/raw")
+    files.write_parquet(raw, f"{base}/raw/run=a/batch_id=0")
     written = run_batch(spark, f"{base}/raw", f"{base}/store")
-    speed = testdata.event_plays(spark, SMALL).filter("page = 'NextSong' and ts >= 1705708800000")
-    files.write_parquet(speed, f"{base}/speed")  # from 2024-01-20 on: overlaps the batch layer
+    held = testdata.event_plays(spark, SMALL).filter("page = 'NextSong' and ts >= 1705708800000")
+    # From 2024-01-20 on: the first micro-batch is in the batch layer, too.
+    files.write_parquet(held.filter(testdata.speed_start(batch=True)), f"{base}/speed/run=a/batch_id=0")
+    newer = held.filter(testdata.speed_start(batch=False))
+    odd = newer.limit(1).withColumn("ts", F.explode(F.array(F.lit(0), F.lit(4102444800000), F.lit(None))))
+    files.write_parquet(newer.unionByName(odd.select(*newer.columns)), f"{base}/speed/run=a/batch_id=1")
     return base, written
 
 
@@ -44,9 +48,30 @@ def test_serving_without_overlap_counts_each_play_once(spark, store):
     merged = files.read_view(spark, f"{base}/export/merged_top_songs")
     total = merged.agg(F.sum("merged_plays")).first()[0]
     row = files.read_view(spark, f"{base}/export/speed_summary").first()
-    assert total == row["batch_total"] + row["stream_total"] == 5969
+    assert total == 5969 + 3  # a late, a future-dated and an undated event
     hours = files.read_view(spark, f"{base}/export/merged_active_ts")
-    assert hours.agg(F.sum("total_plays")).first()[0] == 5969
+    assert hours.agg(F.sum("total_plays")).first()[0] == 5969 + 3
+    assert row["stream_total"] == files.read_events(spark, f"{base}/speed").count()
+
+
+def test_latest_arrival_is_a_time_right_after_a_batch_run(spark, events, tmp_path):
+    landed = events(event(ingestion_time="2024-01-01 10:00:02"))
+    for layer in ("raw", "speed"):
+        files.write_parquet(landed, f"{tmp_path}/{layer}/run=a/batch_id=0")
+    run_batch(spark, f"{tmp_path}/raw", f"{tmp_path}/store", models=False)
+    run_serving(spark, f"{tmp_path}/store", f"{tmp_path}/speed", f"{tmp_path}/export")
+    row = files.read_view(spark, f"{tmp_path}/export/speed_summary").first()
+    assert (row["stream_total"], row["latest_ingestion"]) == (1, "2024-01-01 10:00:02")
+    merged = files.read_view(spark, f"{tmp_path}/export/merged_top_songs")
+    assert [r["merged_plays"] for r in merged.collect()] == [1]
+
+
+def test_broken_speed_table_raises(spark, store, tmp_path):
+    base, _ = store
+    (tmp_path / "speed").mkdir()
+    (tmp_path / "speed" / "part-0.parquet").write_text("not a table")
+    with pytest.raises(Exception, match="part-0"):
+        run_serving(spark, f"{base}/store", str(tmp_path / "speed"), str(tmp_path / "export"))
 
 
 def test_serving_with_overlap_adds_all_speed_rows(spark, store):
@@ -74,7 +99,7 @@ def test_publish_skips_missing_views(spark, store, tmp_path):
 def test_catalog_round_trip(spark, store):
     base, _ = store
     db = load_catalog(
-        spark, "lake_test", f"{base}/store/clean", f"{base}/speed", fresh_dir(spark, "db"), None
+        spark, "lake_test", f"{base}/store/clean", f"{base}/speed", fresh_dir(spark, "db")
     )
     clean = files.read_events(spark, f"{base}/store/clean")
     assert db.table("play_events").columns == EVENT_COLUMNS

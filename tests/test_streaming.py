@@ -78,6 +78,17 @@ def test_repeated_batch_overwrites_itself(spark, events, tmp_path):
     assert files.read_events(spark, f"{tmp_path}/raw").count() == 4
 
 
+def test_second_checkpoint_adds_and_never_replaces(spark, topic):
+    send, read, base = topic
+    send(text(song="one"))
+    for checkpoint in ("first", "second"):
+        stream.start_ingest(read(), f"{base}/raw", f"{base}/speed", f"{base}/{checkpoint}", None).awaitTermination()
+    assert rows(files.read_events(spark, f"{base}/raw"), "song") == [("one",), ("one",)]
+    landed = files.read_landed(spark, f"{base}/speed")
+    assert landed.select("run").distinct().count() == 2
+    assert rows(landed, "batch_id") == [(0,), (0,)]
+
+
 def test_append_sink(spark, topic):
     send, read, base = topic
     send(text(song="one"))
