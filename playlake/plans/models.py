@@ -7,6 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from playlake.operators import churn, features, segments
 from playlake.sources.files import read_view, write_parquet
 
+USERS_PER_TASK = 200_000
+
 
 def _stored(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
     """Write a table and read it back: cuts the lineage, and a model that reads
@@ -15,15 +17,20 @@ def _stored(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
     return read_view(spark, path)
 
 
-def _by_user(df: DataFrame) -> DataFrame:
-    """Order rows inside their tasks; no rows move. Fits depend on row order."""
-    return df.sortWithinPartitions("userId")
+def _laid_out(df: DataFrame) -> DataFrame:
+    """Rows in an order and in tasks that follow from the rows alone.
+
+    Fits depend on both, so neither cores, file sizes nor adaptive execution may
+    have a say: users are hashed into a number of tasks taken from their count.
+    """
+    tasks = -(-df.count() // USERS_PER_TASK) or 1
+    return df.repartition(tasks, "userId").sortWithinPartitions(*df.columns)
 
 
 def run_segments(spark: SparkSession, users: DataFrame, store: str) -> tuple[DataFrame, DataFrame]:
     """Write user_features, user_segments and segment_profiles."""
-    held = _stored(spark, _by_user(users), f"{store}/user_features")
-    model = segments.fit_segments(held)
+    held = _stored(spark, users, f"{store}/user_features")
+    model = segments.fit_segments(_laid_out(held))
     named = _stored(spark, segments.user_segments(model, held), f"{store}/user_segments")
     profiles = segments.segment_profiles(named)
     return named, _stored(spark, profiles, f"{store}/segment_profiles")
@@ -31,10 +38,10 @@ def run_segments(spark: SparkSession, users: DataFrame, store: str) -> tuple[Dat
 
 def run_churn(spark: SparkSession, clean: DataFrame, store: str) -> tuple[DataFrame, DataFrame]:
     """Write churn_features, churn_dataset, churn_predictions and churn_summary."""
-    habits = _stored(spark, _by_user(features.churn_features(clean)), f"{store}/churn_features")
+    habits = _stored(spark, features.churn_features(clean), f"{store}/churn_features")
     labelled = features.churn_dataset(habits, features.churn_labels_time(clean))
-    dataset = _stored(spark, _by_user(labelled), f"{store}/churn_dataset")
-    train, holdout = churn.holdout_split(dataset)
+    dataset = _stored(spark, labelled, f"{store}/churn_dataset")
+    train, holdout = churn.holdout_split(_laid_out(dataset))
     model = churn.fit_churn(train, f"{store}/churn_model")
     predictions = _stored(spark, churn.score(model, dataset), f"{store}/churn_predictions")
     summary = churn.churn_summary(predictions, churn.holdout_auc(model, holdout))

@@ -170,3 +170,20 @@ def test_cutoff_is_computed_once_per_plan(spark):
     df = cleaned(spark, SMALL)
     text = plan(clean.time_split(df)[0])
     assert "Subquery" in text and "Join" not in text
+
+
+def test_models_do_not_depend_on_the_layout(spark, tmp_path):
+    held = order_clean(spark, SMALL)
+    results = []
+    for parts, adaptive in ((2, "true"), (16, "false")):
+        spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+        try:
+            store = f"{tmp_path}/{parts}"
+            named, _ = run_segments(spark, features.user_features(held), store)
+            scored, summary = run_churn(spark, held, store)
+            results.append((rows(named, "userId", "segment"), rows(scored, "userId", "churn_probability"), rows(summary)))
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", "4")
+            spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert results[0] == results[1]
