@@ -103,5 +103,6 @@ def churn_summary(predictions: DataFrame, auc: float | None) -> DataFrame:
         users("Medium").alias("medium_risk"),
         users("Low").alias("low_risk"),
         half_up(F.avg("churn_probability") * 100, 1).alias("avg_churn_pct"),
+        area.alias("auc_roc"),
         half_up(F.avg("label") * 100, 1).alias("churn_rate_pct"),
-    ).withColumn("auc_roc", area)
+    )

@@ -25,7 +25,9 @@ def dedup(events: DataFrame) -> DataFrame:
     depend on task order: a task that is run again picks the same copy.
     """
     rest = [c for c in events.columns if c not in EVENT_KEY]
-    order = [c for c in ARRIVAL if c in rest] + [c for c in rest if c not in ARRIVAL]
+    # A copy without an arrival time comes after those that have one.
+    order = [x for c in ARRIVAL if c in rest for x in (F.isnull(c).alias(f"no_{c}"), F.col(c))]
+    order += [F.col(c) for c in rest if c not in ARRIVAL]
     survivor = F.min(F.struct(*order)).alias("survivor")
     return (
         events.groupBy(*EVENT_KEY).agg(survivor).select(*EVENT_KEY, "survivor.*").select(*events.columns)

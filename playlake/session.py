@@ -61,9 +61,9 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
         context = spark.sparkContext
         if not context.master.startswith("local"):
             raise RuntimeError(f"set {CHECKPOINT_SETTING} to a folder shared by all executors")
-        root = _local_roots.setdefault(
-            context.applicationId, tempfile.mkdtemp(prefix="playlake-")
-        )
+        if context.applicationId not in _local_roots:
+            _local_roots[context.applicationId] = tempfile.mkdtemp(prefix="playlake-")
+        root = _local_roots[context.applicationId]
     return "/".join([root.rstrip("/"), "playlake", *parts])
 
 
