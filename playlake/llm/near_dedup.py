@@ -12,11 +12,14 @@ process ends as soon as it is later than the text's latest component. Two texts
 agree in a component with the probability of their similarity.
 
 *Bands, links, classes.* Texts of equal multisets collapse first. Texts that agree
-in a band are candidates: each is verified against the first text of its bucket,
-then, where classes are still apart, against the last, and then the texts of
-different classes in one bucket against each other. So no candidate link is left
-out, and a large group costs few comparisons. A link needs an exact overlap of
-``SIMILAR``; classes are connected components of links.
+in a band are candidates: each is verified against the first text of its bucket
+and then, where classes are still apart, against the last. In buckets of several
+classes that are left, texts of different classes are compared by coarse counts
+(shingles per ``CELLS`` hash values), which bound the overlap from above: a pair
+below the bound cannot be a link, so none is left out, and only the others are
+made rows. Such buckets are taken in blocks of ``BLOCK`` texts, so a bucket of any
+size is spread over tasks. A link needs an exact overlap of ``SIMILAR``; classes
+are connected components of links.
 
 Defined cases: a null text is empty; texts without words are copies if they are
 equal, and similar to no other text; repeated rows are copies, each in a row of its
@@ -40,6 +43,8 @@ SIMILAR = 0.8
 BANDS, BAND_ROWS = 24, 4
 SIZE = BANDS * BAND_ROWS
 LONG_WORD = 64
+CELLS = 256
+BLOCK = 1024
 MASK = 2**64 - 1
 
 _WORD = np.zeros(256, bool)
@@ -171,10 +176,80 @@ def _sketch(batch: pa.RecordBatch) -> pa.RecordBatch:
     )
 
 
+def _cells(text: np.ndarray, value: np.ndarray, weight: np.ndarray, count: int) -> list[bytes]:
+    """Each text's shingles per cell of their values, as 16-bit counts.
+
+    A text with more in a cell than that gets the largest count in all cells, which
+    bounds nothing.
+    """
+    cell = text * CELLS + (value % np.uint64(CELLS)).astype(np.int64)
+    counts = np.bincount(cell, weight, minlength=count * CELLS).reshape(count, CELLS)
+    counts[(counts > 65535).any(axis=1)] = 65535
+    return [row.tobytes() for row in counts.astype(np.uint16)]
+
+
 def _multiset(batch: pa.RecordBatch) -> pa.RecordBatch:
     found = texts(batch)
-    held = _counted_once(*shingles(found), len(found))
-    return with_columns(batch, ["rid"], {"held": pa.array(held, pa.binary())})
+    counted = shingles(found)
+    held = _counted_once(*counted, len(found))
+    cells = _cells(*counted, len(found))
+    return with_columns(batch, ["rid"], {"held": pa.array(held, pa.binary()), "cells": pa.array(cells, pa.binary())})
+
+
+def _likely_pairs(batches):
+    """Pairs of different classes whose coarse counts allow a link.
+
+    Rows come ordered by (key, left, right): the texts of a bucket's two blocks, or
+    of one block if both are the same.
+    """
+    names = ("key", "left", "right", "block", "rid", "class", "size", "cells")
+    group, rows = None, []
+
+    def compared():
+        left = group[1]
+        rids, classes_, sizes = (np.array([r[k] for r in rows], np.int64) for k in (1, 2, 3))
+        blocks = np.array([r[0] for r in rows], np.int64)
+        cells = np.frombuffer(b"".join(r[4] for r in rows), np.uint16).reshape(-1, CELLS)
+        first, second = [], []
+        for one in np.flatnonzero(blocks == left).tolist():
+            others = classes_ != classes_[one]
+            others &= (np.arange(len(rows)) > one) if group[1] == group[2] else (blocks != left)
+            others = np.flatnonzero(others)
+            small = np.minimum(sizes[others], sizes[one])
+            both = np.minimum(np.minimum(cells[others], cells[one]).sum(axis=1, dtype=np.int64), small)
+            likely = others[5 * both >= 4 * (sizes[others] + sizes[one] - both)]
+            first += [int(rids[one])] * len(likely)
+            second += rids[likely].tolist()
+        return pa.RecordBatch.from_arrays([pa.array(first, pa.int64()), pa.array(second, pa.int64())], ["a", "b"])
+
+    for batch in batches:
+        for key, left, right, *row in zip(*(batch.column(c).to_pylist() for c in names), strict=True):
+            if (key, left, right) != group:
+                if len(rows) > 1:
+                    yield compared()
+                group, rows = (key, left, right), []
+            rows.append(row)
+    if len(rows) > 1:
+        yield compared()
+
+
+def _within_buckets(classed: DataFrame, multisets: DataFrame) -> DataFrame:
+    """Likely links (a, b) between classes that share a bucket."""
+    mixed = classed.groupBy("key").agg(
+        F.min("class").alias("low"), F.max("class").alias("high"), F.count(F.lit(1)).alias("n")
+    )
+    mixed = mixed.filter("low < high").select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
+    coarse = multisets.select("rid", (F.octet_length("held") / 8).cast("long").alias("size"), "cells")
+    held = classed.join(mixed, "key").join(coarse, "rid")
+    held = held.withColumn("block", F.pmod(F.xxhash64("rid"), F.col("blocks")).cast("int"))
+    held = held.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    held = held.select(
+        "key", F.least("block", "other").alias("left"), F.greatest("block", "other").alias("right"),
+        "block", "rid", "class", "size", "cells",
+    )
+    spread = int(classed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ordered = held.repartition(spread, "key", "left", "right").sortWithinPartitions("key", "left", "right", "rid")
+    return ordered.mapInArrow(_likely_pairs, "a long, b long")
 
 
 def _similar(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -231,7 +306,7 @@ def classes(documents: DataFrame) -> DataFrame:
     buckets = stored(keyed.join(shared, "key").select("key", "rid"), "near-buckets")
     wanted = buckets.select("rid").distinct()
     multisets = stored(
-        map_batches(rows.select("rid", "text").join(wanted, "rid"), _multiset, "rid long, held binary"),
+        map_batches(rows.select("rid", "text").join(wanted, "rid"), _multiset, "rid long, held binary, cells binary"),
         "near-multisets",
     )
 
@@ -249,11 +324,7 @@ def classes(documents: DataFrame) -> DataFrame:
             pairs = classed.join(led, "key").filter(F.col("class") != F.col("lead.class"))
             pairs = pairs.select(F.col("rid").alias("a"), F.col("lead.rid").alias("b"))
         else:
-            other = classed.select("key", F.col("rid").alias("b"), F.col("class").alias("class_b"))
-            mixed = classed.groupBy("key").agg(F.min("class").alias("low"), F.max("class").alias("high"))
-            mixed = mixed.filter("low < high").select("key")
-            pairs = classed.join(mixed, "key").join(other, "key").filter("class < class_b")
-            pairs = pairs.select(F.col("rid").alias("a"), "b")
+            pairs = _within_buckets(classed, multisets)
         pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         found = stored(_verified(pairs, multisets), "near-links")
         links = found if links is None else links.union(found)
