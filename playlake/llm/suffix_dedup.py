@@ -9,15 +9,17 @@ Exact over the whole table, whatever the number of copies:
    common to them, and together they make a *segment* of at most 576 bytes.
 2. *Copies.* Segments with a core that occurs once are dropped. Segments that
    occur twice or more are repeated as a whole.
-3. *Interval expansion.* The other segments are compared with the distinct segments
-   of their core: bounded groups are joined to texts of some hundred kilobytes,
-   suffix-sorted, and the intervals of equal prefixes are extended backward through
-   the Burrows-Wheeler order, one byte a round, breadth first. A round splits
-   intervals where their extensions differ, which gives the common prefixes by
-   rising length; intervals that hold one suffix are left, and what stands after
-   LENGTH rounds is repeated.
-4. *Hot cores*, with more distinct segments than fit into such a text, are settled by
-   grouping 128-bit hashes of their strings, which splits them over all tasks.
+3. *Narrower classes.* The distinct segments of the other cores are cut into ``FINE``
+   classes by finer offsets, whose longer cores settle most strings as in 2.
+4. *Interval expansion.* Narrow segments that still differ are joined, whole cores at
+   a time, to one text, in which the core, the same in all of a group, is one symbol.
+   The text is suffix-sorted, and the intervals of equal prefixes are extended
+   backward through the Burrows-Wheeler order, one symbol a round, breadth first. A
+   round splits intervals where their extensions differ, which gives the common
+   prefixes by rising length; intervals that hold one suffix are left, and what
+   stands at full length is repeated.
+5. *Hot cores*, with more narrow segments than fit into such a text, are settled
+   string by string by grouping 128-bit hashes, which spreads them over all tasks.
 
 Strings never cross texts. Defined cases: a null text is empty; texts shorter than
 LENGTH have nothing to remove; strings of a text that overlap count as repeats if
@@ -38,27 +40,29 @@ from pyspark.sql import DataFrame, functions as F
 from playlake.llm.rows import map_batches, numbered, packed, small_batches, stored, texts, unpacked, with_columns
 
 LENGTH = 400
-K = 48
+K = 49
 OFFSETS = LENGTH - K + 1  # offsets an anchor can have in a string
-HALF = OFFSETS // 2 + 1  # offsets of the first class
-HOT = 2000  # distinct segments of a core beyond which it is hot
+HALF = OFFSETS // 2  # offsets of a class, which are also the strings of a segment
+CORE = LENGTH - HALF + 1  # bytes that all strings of a segment hold
+FINE = 11  # narrower classes of a segment
+WIDE = HALF // FINE  # strings of a narrower class
+LONG_CORE = LENGTH - WIDE + 1  # bytes that all strings of a narrower class hold
+HOT = 10_000  # distinct narrow segments of a core beyond which it is hot
 TEXT_BYTES = 512 << 10
-TASK_BYTES = 4 << 20
+TASK_BYTES = 32 << 20
 
 _BYTE_VALUES = np.random.default_rng(400).integers(0, 2**63, 256, dtype=np.uint64)
 
 
 def _gram_hashes(data: np.ndarray) -> np.ndarray:
-    """Hashes of all K-byte grams, by doubling: K = 32 + 16."""
+    """Hashes of all K-byte grams, by doubling up to 32 bytes; two of those cover K."""
     x = _BYTE_VALUES[data]
     size = 1
     while size < 32:
         x = x[:-size] * np.uint64(0x9E3779B97F4A7C15) + x[size:]
         x ^= x >> np.uint64(29)
         size *= 2
-        if size == 16:
-            half = x
-    x = x[: len(data) - K + 1] * np.uint64(0xBF58476D1CE4E5B9) + half[32:]
+    x = x[: len(data) - K + 1] * np.uint64(0xBF58476D1CE4E5B9) + x[K - 32 :]
     x ^= x >> np.uint64(32)
     return x * np.uint64(0x94D049BB133111EB)
 
@@ -83,33 +87,27 @@ def anchors(text: bytes) -> np.ndarray:
     return np.flatnonzero(_sliding(around, OFFSETS, np.maximum) == grams)
 
 
-def segments(text: bytes) -> set[tuple[int, int, int, int]]:
-    """(core hash, segment hash, start, length) of a text, each once."""
+def segments(text: bytes) -> set[tuple[int, int, int, int, int]]:
+    """(core hash, segment hash, start, length, core's place in it) of a text, each once."""
     found, last, digest = set(), len(text) - LENGTH, xxhash.xxh3_64_intdigest
     for place in anchors(text).tolist():
-        low, high = max(0, place - HALF + 1), min(place, last)
-        if low <= high:
-            core = digest(text[place : place - HALF + 1 + LENGTH], 1)
-            found.add((core, digest(text[low : high + LENGTH], 3), low, high - low + LENGTH))
-        low, high = max(0, place - OFFSETS + 1), min(place - HALF, last)
-        if low <= high:
-            core = digest(text[place - HALF : place + K], 2)
-            found.add((core, digest(text[low : high + LENGTH], 3), low, high - low + LENGTH))
+        for core in (place, place - HALF):
+            low, high = max(0, core - HALF + 1), min(core, last)
+            if low <= high:
+                skip = core - low
+                key = digest(text[core : core + CORE], core != place)
+                found.add((key, digest(text[low : high + LENGTH], skip), low, high - low + LENGTH, skip))
     return found
 
 
 def _segment_batches(batches):
     for batch in batches:
-        rids, cores, hashes, starts, sizes = [], [], [], [], []
+        rids, found = [], []
         for rid, text in zip(batch.column("rid").to_pylist(), texts(batch), strict=True):
-            found = segments(text)
-            if found:
-                core, digest, start, size = zip(*found, strict=True)
-                rids += [rid] * len(found)
-                cores += core
-                hashes += digest
-                starts += start
-                sizes += size
+            some = segments(text)
+            rids += [rid] * len(some)
+            found += some
+        cores, hashes, starts, sizes, skips = zip(*found, strict=True) if found else [()] * 5
         yield pa.RecordBatch.from_arrays(
             [
                 pa.array(np.array(cores, np.uint64).view(np.int64)),
@@ -117,19 +115,18 @@ def _segment_batches(batches):
                 pa.array(rids, pa.int64()),
                 pa.array(starts, pa.int32()),
                 pa.array(sizes, pa.int32()),
+                pa.array(skips, pa.int32()),
             ],
-            ["core", "segment", "rid", "start", "size"],
+            ["core", "segment", "rid", "start", "size", "skip"],
         )
 
 
 def suffix_order(symbols: np.ndarray, least: int) -> np.ndarray:
     """Suffixes in the order of their first ``least`` symbols or more, by prefix doubling."""
     size = len(symbols)
-    padded = np.concatenate([symbols.astype(np.int64), np.zeros(7, np.int64)])
-    key = np.zeros(size, np.int64)
-    for step in range(7):
-        key = key << 9 | padded[step : step + size]
-    width = 7
+    padded = np.concatenate([symbols.astype(np.int64), np.zeros(3, np.int64)])
+    key = padded[:size] << 42 | padded[1 : size + 1] << 21 | padded[2 : size + 2]
+    width = 3
     while True:
         order = np.argsort(key, kind="stable")
         ranked = key[order]
@@ -143,19 +140,15 @@ def suffix_order(symbols: np.ndarray, least: int) -> np.ndarray:
         width *= 2
 
 
-def repeated_starts(parts: list[bytes], length: int = LENGTH) -> np.ndarray:
-    """Places in the joined parts where a string starts that starts at another place too.
+def repeated_starts(symbols: np.ndarray, length: int) -> np.ndarray:
+    """Places where a string of ``length`` symbols starts that starts at another place too.
 
-    Parts are joined with one separator each; strings don't hold separators.
-    ``onward[j]`` leads from a suffix to the one a byte shorter: the prefix interval
-    of a suffix after a backward extension is that of the shorter suffix, split by
-    the byte put before it. So two neighbours stay in one interval of ``n + 1`` bytes
-    if they were in one of ``n`` bytes and their shorter suffixes were, too.
+    Symbol 0 separates: strings don't hold it. ``onward[j]`` leads from a suffix to
+    the one a symbol shorter: the prefix interval of a suffix after a backward
+    extension is that of the shorter suffix, split by the symbol put before it. So
+    two neighbours stay in one interval of ``n + 1`` symbols if they were in one of
+    ``n`` and their shorter suffixes were, too.
     """
-    joined = b"\0".join([*parts, b""])
-    symbols = np.frombuffer(joined, np.uint8).astype(np.int16) + 1
-    ends = np.cumsum([len(p) + 1 for p in parts]) - 1
-    symbols[ends] = 0
     size = len(symbols)
     order = suffix_order(symbols, length)
     place = np.empty(size + 1, np.int32)
@@ -167,23 +160,19 @@ def repeated_starts(parts: list[bytes], length: int = LENGTH) -> np.ndarray:
     interval = -1 - np.arange(size + 1, dtype=np.int32)
     active = np.flatnonzero(first > 0).astype(np.int32)
     label = first[active].astype(np.int32)
-    for _ in range(length - 1):  # labels are of one byte so far
+    for _ in range(length - 1):  # labels are of one symbol so far
         if not len(active):
             break
-        split = np.ones(len(active) + 1, bool)
-        split[1:-1] = label[1:] != label[:-1]
-        turns = np.flatnonzero(split)
-        alone = np.zeros(len(active), bool)
-        alone[turns[:-1][np.diff(turns) == 1]] = True
-        numbers = np.cumsum(split[:-1], dtype=np.int32)
-        if alone.any():
-            interval[active[alone]] = -1 - active[alone]
-            active, numbers = active[~alone], numbers[~alone]
-        interval[active] = numbers
+        paired = _paired(label)
+        if not paired.all():
+            alone = active[~paired]
+            interval[alone] = -1 - alone
+            active, label = active[paired], label[paired]
+        interval[active] = label
         # A round's intervals by (interval so far, interval of the shorter suffix).
         ahead = interval[onward[active]]
         change = np.ones(len(active), bool)
-        change[1:] = (numbers[1:] != numbers[:-1]) | (ahead[1:] != ahead[:-1])
+        change[1:] = (label[1:] != label[:-1]) | (ahead[1:] != ahead[:-1])
         label = np.cumsum(change, dtype=np.int32)
     return np.sort(order[active[_paired(label)]]) if len(active) else np.zeros(0, np.int64)
 
@@ -208,32 +197,35 @@ def _ranges(starts: np.ndarray, length: int = LENGTH) -> list[Range]:
     return [(int(part[0]), int(part[-1]) + length) for part in np.split(starts, breaks)]
 
 
-def _joined_parts(rows: list[tuple]) -> list[tuple[int, int, bytes, bool]]:
-    """(rid, start, bytes, any single): segments of a text that overlap as one part.
+def _compared(rows: list[tuple]) -> pa.RecordBatch:
+    """Ranges of strings that start in two places of the rows' narrow segments.
 
-    Neighbouring anchors share strings, so a string may stand in several segments;
-    in the parts every place of a text stands once.
+    With its core as one symbol, a string has ``WIDE`` symbols, and equal strings
+    hold the core at equal places. A place of a text stands once for each place of
+    the core, so it is never equal to itself.
     """
-    out: list[tuple[int, int, bytes, bool]] = []
-    for rid, start, data, single in sorted(rows, key=lambda r: r[:2]):
-        if out and out[-1][0] == rid and start < out[-1][1] + len(out[-1][2]):
-            _, begin, held, was = out[-1]
-            out[-1] = rid, begin, held + data[max(0, begin + len(held) - start) :], was or single
-        else:
-            out.append((rid, start, data, single))
-    return out
-
-
-def _compared(rows: list[tuple]) -> pa.RecordBatch:
-    """Ranges of strings that start in two places of the rows' segments."""
-    parts = _joined_parts(rows)
-    found = repeated_starts([data for _, _, data, _ in parts])
-    begins = np.cumsum([0, *(len(data) + 1 for _, _, data, _ in parts)])
+    cores: dict[tuple[int, bytes], int] = {}  # the two classes of an anchor stay apart
+    parts, begins, begin = [], [], 0
+    for core, _, _, data, _, skip in rows:
+        symbol = cores.setdefault((core, data[skip : skip + LONG_CORE]), 257 + len(cores))
+        part = np.zeros(len(data) - LONG_CORE + 2, np.int32)
+        bare = np.frombuffer(data, np.uint8)
+        part[:skip] = bare[:skip]
+        part[skip + 1 : -1] = bare[skip + LONG_CORE :]
+        part[:-1] += 1
+        part[skip] = symbol
+        parts.append(part)
+        begins.append(begin)
+        begin += len(part)
+    found = repeated_starts(np.concatenate(parts), WIDE)
+    begins = np.array([*begins, begin])
     cuts = np.searchsorted(found, begins)
     rids, starts, ends = [], [], []
-    for number, (rid, start, _, single) in enumerate(parts):
+    for number, (_, rid, start, _, single, skip) in enumerate(rows):
         if single:
-            for a, b in _ranges(found[cuts[number] : cuts[number + 1]] - begins[number]):
+            inside = found[cuts[number] : cuts[number + 1]] - begins[number]
+            # WIDE symbols that start behind the core are no string of this segment.
+            for a, b in _ranges(inside[inside <= skip]):
                 rids.append(rid)
                 starts.append(start + a)
                 ends.append(start + b)
@@ -247,20 +239,20 @@ def _expanded(batches):
     rows: list[tuple] = []
     core, size = None, 0
     for batch in batches:
-        columns = (batch.column(c).to_pylist() for c in ("core", "rid", "start", "data", "single"))
-        for key, rid, start, data, single in zip(*columns, strict=True):
+        columns = (batch.column(c).to_pylist() for c in ("core", "rid", "start", "data", "single", "skip"))
+        for key, rid, start, data, single, skip in zip(*columns, strict=True):
             if key != core and size >= TEXT_BYTES:
                 yield _compared(rows)
                 rows, size = [], 0
-            core, size = key, size + len(data)
-            rows.append((rid, start, data, single))
+            core, size = key, size + len(data) - LONG_CORE + 2
+            rows.append((key, rid, start, data, single, skip))
     if rows:
         yield _compared(rows)
 
 
 def _cut_out(batch: pa.RecordBatch) -> pa.RecordBatch:
     """The bytes of the wanted segments of each text."""
-    columns: dict[str, list] = {c: [] for c in ("core", "rid", "start", "data", "single", "hot")}
+    columns: dict[str, list] = {c: [] for c in ("core", "rid", "start", "data", "single", "skip")}
     wanted = batch.column("wanted").to_pylist()
     for rid, text, segs in zip(batch.column("rid").to_pylist(), texts(batch), wanted, strict=True):
         for seg in segs:
@@ -269,42 +261,124 @@ def _cut_out(batch: pa.RecordBatch) -> pa.RecordBatch:
             columns["start"].append(seg["start"])
             columns["data"].append(text[seg["start"] : seg["start"] + seg["size"]])
             columns["single"].append(seg["single"])
-            columns["hot"].append(seg["hot"])
-    kinds = (pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.bool_(), pa.bool_())
+            columns["skip"].append(seg["skip"])
+    kinds = (pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.bool_(), pa.int32())
     arrays = [pa.array(v, kind) for v, kind in zip(columns.values(), kinds, strict=True)]
     return pa.RecordBatch.from_arrays(arrays, list(columns))
 
 
+def _columns(rows: list[tuple], kinds: dict[str, pa.DataType]) -> pa.RecordBatch:
+    values = zip(*rows, strict=True) if rows else [()] * len(kinds)
+    arrays = [pa.array(v, kind) for v, kind in zip(values, kinds.values(), strict=True)]
+    return pa.RecordBatch.from_arrays(arrays, list(kinds))
+
+
+def _narrow(start: int, size: int, skip: int, part: int) -> tuple[int, int, int] | None:
+    """(first, last, core's place) of the strings of a narrower class, within the segment.
+
+    Strings count by how far before the core they start: class ``part`` holds those
+    of ``part * WIDE`` to ``part * WIDE + WIDE - 1`` bytes.
+    """
+    near, far = part * WIDE, part * WIDE + WIDE - 1
+    first, last = max(0, skip - far), min(skip - near, size - LENGTH)
+    return (first, last, skip - near) if first <= last else None
+
+
+def _narrower(batch: pa.RecordBatch) -> pa.RecordBatch:
+    """(piece, part, core, segment, rid, a, b, single) of the narrower classes of segments."""
+    rows: list[tuple] = []
+    names = ("piece", "core", "rid", "start", "data", "single", "skip")
+    digest = xxhash.xxh3_64_intdigest
+    signed = lambda x: x - 2**64 if x >= 2**63 else x
+    for piece, core, rid, start, data, single, skip in zip(*(batch.column(c).to_pylist() for c in names), strict=True):
+        for part in range(FINE):
+            found = _narrow(start, len(data), skip, part)
+            if found:
+                first, last, held = found
+                longer = data[held : held + LONG_CORE]  # common to the class
+                key = digest(longer, core % 2**64 + part & 2**64 - 1)
+                whole = digest(data[first : last + LENGTH], held - first)
+                rows.append((piece, part, signed(key), signed(whole), rid, start + first, start + last + LENGTH, single))
+    kinds = {"piece": pa.int64(), "part": pa.int32(), "core": pa.int64(), "segment": pa.int64()}
+    return _columns(rows, kinds | {"rid": pa.int64(), "a": pa.int32(), "b": pa.int32(), "single": pa.bool_()})
+
+
+def _taken(batch: pa.RecordBatch) -> pa.RecordBatch:
+    """The bytes of the wanted narrow segments."""
+    rows: list[tuple] = []
+    names = ("rid", "start", "data", "skip", "wanted")
+    for rid, start, data, skip, wanted in zip(*(batch.column(c).to_pylist() for c in names), strict=True):
+        for each in wanted:
+            first, last, held = _narrow(start, len(data), skip, each["part"])
+            part = data[first : last + LENGTH]
+            rows.append((each["core"], rid, start + first, part, each["single"], held - first, each["hot"]))
+    kinds = {"core": pa.int64(), "rid": pa.int64(), "start": pa.int32(), "data": pa.binary()}
+    return _columns(rows, kinds | {"single": pa.bool_(), "skip": pa.int32(), "hot": pa.bool_()})
+
+
 def _string_hashes(batch: pa.RecordBatch) -> pa.RecordBatch:
-    """(core, string hash, rid, start, single) of every string of LENGTH bytes of hot segments."""
+    """(core, string, rid, start, single) of every string of narrow segments."""
     rows: list[tuple] = []
-    columns = (batch.column(c).to_pylist() for c in ("core", "rid", "start", "data", "single"))
-    for core, rid, start, data, single in zip(*columns, strict=True):
+    names = ("core", "rid", "start", "data", "single", "skip")
+    for core, rid, start, data, single, skip in zip(*(batch.column(c).to_pylist() for c in names), strict=True):
         for place in range(len(data) - LENGTH + 1):
-            digest = xxhash.xxh3_128_digest(data[place : place + LENGTH])
-            rows.append((core, digest, rid, start + place, single))
-    kinds = (pa.int64(), pa.binary(), pa.int64(), pa.int32(), pa.bool_())
-    arrays = [pa.array(v, kind) for v, kind in zip(zip(*rows, strict=True) if rows else [[]] * 5, kinds, strict=True)]
-    return pa.RecordBatch.from_arrays(arrays, ["core", "string", "rid", "start", "single"])
+            # How far before the core a string starts is part of its name, see _compared.
+            name = xxhash.xxh3_128_digest(data[place : place + LENGTH], abs(skip - place))
+            rows.append((core, name, rid, start + place, single))
+    kinds = {"core": pa.int64(), "string": pa.binary(), "rid": pa.int64(), "start": pa.int32(), "single": pa.bool_()}
+    return _columns(rows, kinds)
 
 
 def _of_hot_cores(hot: DataFrame) -> DataFrame:
-    """Repeated strings of hot cores, as ranges."""
+    """Repeated ranges of narrow segments of hot cores."""
     strings = map_batches(hot, _string_hashes, "core long, string binary, rid long, start int, single boolean")
-    # Overlapping segments of one text may hold one string twice: a place counts once.
-    strings = strings.groupBy("core", "string", "rid", "start").agg(F.min("single").alias("single"))
+    strings = stored(strings, "suffix-strings")
     weight = F.when(F.col("single"), 1).otherwise(2)
     again = strings.groupBy("core", "string").agg(F.sum(weight).alias("n")).filter("n > 1").drop("n")
-    found = strings.join(again, ["core", "string"]).filter("single")
+    found = strings.filter("single").join(again, ["core", "string"])
     return found.select("rid", F.col("start").alias("a"), (F.col("start") + LENGTH).alias("b"))
 
 
+def _of_mixed_cores(cut: DataFrame) -> DataFrame:
+    """Repeated ranges of single segments that share a core with others (a stored table)."""
+    cut = cut.withColumn("piece", F.monotonically_increasing_id())
+    classes = "piece long, part int, core long, segment long, rid long, a int, b int, single boolean"
+    narrow = stored(map_batches(cut, _narrower, classes), "suffix-narrow")
+    weight = F.when(F.col("single"), 1).otherwise(2)
+    distinct = stored(
+        narrow.groupBy("core", "segment").agg(F.sum(weight).alias("n"), F.min(F.struct("piece", "part")).alias("at")),
+        "suffix-narrow-distinct",
+    )
+    copied = distinct.filter("n > 1").select("core", "segment")
+    whole = narrow.filter("single").join(copied, ["core", "segment"]).select("rid", "a", "b")
+    mixed = distinct.groupBy("core").agg(F.count(F.lit(1)).alias("segments"), F.min("n").alias("least"))
+    mixed = mixed.filter("segments > 1 and least = 1").select("core", (F.col("segments") > HOT).alias("hot"))
+    wanted = distinct.join(mixed, "core").select(
+        "at.piece", F.struct("core", "at.part", (F.col("n") == 1).alias("single"), "hot").alias("w")
+    )
+    wanted = wanted.groupBy("piece").agg(F.collect_list("w").alias("wanted"))
+    taken = stored(
+        map_batches(
+            cut.select("piece", "rid", "start", "data", "skip").join(wanted, "piece"),
+            _taken,
+            "core long, rid long, start int, data binary, single boolean, skip int, hot boolean",
+        ),
+        "suffix-compared",
+    )
+    sums = taken.agg(F.sum(F.octet_length("data")).alias("bytes"), F.max("hot").alias("hot")).first()
+    tasks = int(cut.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tasks = max(tasks, (sums.bytes or 0) // TASK_BYTES + 1)
+    near = taken.filter("not hot").drop("hot").repartition(tasks, "core").sortWithinPartitions("core")
+    found = whole.union(near.mapInArrow(_expanded, "rid long, a int, b int"))
+    return found.union(_of_hot_cores(taken.filter("hot"))) if sums.hot else found
+
+
 def repeats(rows: DataFrame) -> DataFrame:
     """(rid, a, b): ranges that cover the repeated strings of all texts (rid, text)."""
     small_batches(rows.sparkSession)
     every = stored(
         rows.select("rid", "text").mapInArrow(
-            _segment_batches, "core long, segment long, rid long, start int, size int"
+            _segment_batches, "core long, segment long, rid long, start int, size int, skip int"
         ),
         "suffix-segments",
     )
@@ -313,7 +387,7 @@ def repeats(rows: DataFrame) -> DataFrame:
     shared = stored(every.join(again, "core"), "suffix-shared")
     distinct = stored(
         shared.groupBy("core", "segment").agg(
-            F.count(F.lit(1)).alias("n"), F.min(F.struct("rid", "start", "size")).alias("at")
+            F.count(F.lit(1)).alias("n"), F.min(F.struct("rid", "start", "size", "skip")).alias("at")
         ),
         "suffix-distinct",
     )
@@ -325,12 +399,12 @@ def repeats(rows: DataFrame) -> DataFrame:
     mixed = distinct.groupBy("core").agg(
         F.count(F.lit(1)).alias("segments"), F.sum((F.col("n") == 1).cast("int")).alias("singles")
     )
-    mixed = mixed.filter("segments > 1 and singles > 0").select("core", (F.col("segments") > HOT).alias("hot"))
+    mixed = mixed.filter("segments > 1 and singles > 0").select("core")
     compared = distinct.join(mixed, "core").select(
         F.col("at.rid").alias("rid"),
         F.struct(
             "core", F.col("at.start").alias("start"), F.col("at.size").alias("size"),
-            (F.col("n") == 1).alias("single"), "hot",
+            (F.col("n") == 1).alias("single"), F.col("at.skip").alias("skip"),
         ).alias("wanted"),
     )
     wanted = compared.groupBy("rid").agg(F.collect_list("wanted").alias("wanted"))
@@ -338,15 +412,11 @@ def repeats(rows: DataFrame) -> DataFrame:
         map_batches(
             rows.select("rid", "text").join(wanted, "rid"),
             _cut_out,
-            "core long, rid long, start int, data binary, single boolean, hot boolean",
+            "core long, rid long, start int, data binary, single boolean, skip int",
         ),
-        "suffix-compared",
+        "suffix-cut",
     )
-    size = cut.agg(F.sum(F.octet_length("data")).alias("bytes")).first().bytes or 0
-    tasks = max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), size // TASK_BYTES + 1)
-    near = cut.filter("not hot").repartition(tasks, "core").sortWithinPartitions("core")
-    expanded = near.select("core", "rid", "start", "data", "single").mapInArrow(_expanded, "rid long, a int, b int")
-    return whole.union(expanded).union(_of_hot_cores(cut.filter("hot")))
+    return whole.union(_of_mixed_cores(cut))
 
 
 def _merged(ranges: list[dict] | None) -> list[Range]:

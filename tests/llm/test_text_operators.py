@@ -317,7 +317,8 @@ def test_interval_expansion_matches_a_plain_search():
         for p in parts:
             want += [begin + i for i in range(len(p) - 4) if seen[p[i : i + 5]] > 1]
             begin += len(p) + 1
-        assert suffix_dedup.repeated_starts(parts, 5).tolist() == want
+        symbols = [x for p in parts for x in [*(b + 1 for b in p), 0]]
+        assert suffix_dedup.repeated_starts(np.array(symbols, np.int32), 5).tolist() == want
 
 
 def test_without_repeats_keeps_rows_and_whole_characters(docs):
@@ -376,7 +377,7 @@ def test_pieces_match_the_library(docs, tiny):
 def test_piece_spans_cut_the_text():
     codec = pieces.Codec(queries.PIECE_MODEL)
     text = "  Ein Haus, zwei  Häuser\n漢 end "
-    [(ids, _, ends)] = list(codec.encode([text.encode()]))
+    [(ids, ends)] = list(codec.encode([text.encode()]))
     starts = [0, *ends[:-1]]
     whole = b"".join(text.encode()[a:b] for a, b in zip(starts, ends, strict=True))
     assert whole == text.encode()
@@ -448,7 +449,9 @@ def near_texts():
     return texts
 
 
-def test_near_classes_match_all_pairs(docs):
+@pytest.mark.parametrize("block", [1024, 2])
+def test_near_classes_match_all_pairs(docs, monkeypatch, block):
+    monkeypatch.setattr(near_dedup, "BLOCK", block)
     rows = [*ODD, *enumerate(near_texts(), 100)]
     texts = [t for _, t in rows]
     got = sorted(near_dedup.classes(docs(rows, clash=True)).collect())
