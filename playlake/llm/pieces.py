@@ -21,7 +21,7 @@ from __future__ import annotations
 import hashlib
 import re
 import struct
-from itertools import chain
+from itertools import accumulate, chain
 
 import numpy as np
 import pyarrow as pa
@@ -32,8 +32,9 @@ from sentencepiece import sentencepiece_model_pb2
 from playlake.llm.rows import numbered, small_batches, texts
 
 SPACE = "▁".encode()
-KEPT_CHUNKS = 200_000
+KEPT_CHUNKS = 250_000
 LONGEST_CHUNK = 64  # bytes of a chunk that is kept
+PLACES = list(range(LONGEST_CHUNK))
 CHUNK = re.compile(rb" *[^ ]+| +")
 
 
@@ -87,6 +88,10 @@ class Normalizer:
 
     def run(self, text: bytes) -> tuple[bytes, list[int]]:
         """(normalised text, source place of each of its bytes and of its end)."""
+        if text and not self.map and not self.remove_extra and b" " not in text:
+            head = len(self.space) if self.dummy_prefix else 0
+            places = PLACES[: len(text) + 1] if len(text) < len(PLACES) else list(range(len(text) + 1))
+            return self.space[:head] + text, [0] * head + places
         prefixes, place = [], 0
         while place < len(text):
             found = self.map.longest(text, place)
@@ -146,17 +151,15 @@ class Codec:
         space = self.library.piece_to_id("▁")
         self.last_space = {b"": ([space], str(space), [0])}
         self.kept |= self.last_space
+        self.older: dict[bytes, tuple] = {}
 
-    def _spans(self, ids: list[int], source: list[int], skip: int) -> list[int]:
-        """End of each piece's source bytes; ``skip`` bytes were put before the text."""
-        ends, place = [], 0
-        for k in ids:
-            place += self.widths[k]
-            ends.append(max(0, source[min(place, len(source) - 1)] - skip))
-        return ends
+    def _spans(self, ids: list[int], source: list[int]) -> list[int]:
+        """End of each piece's bytes in the source."""
+        last = len(source) - 1
+        return [source[p if p < last else last] for p in accumulate([self.widths[k] for k in ids])]
 
     def _entry(self, ids: list[int], source: list[int]) -> tuple:
-        return ids, ",".join(map(str, ids)), self._spans(ids, source, 0)
+        return tuple(ids), ",".join(map(str, ids)), tuple(self._spans(ids, source))
 
     def _chunks(self, text: bytes) -> list[bytes]:
         """Chunks as the library gets them: its own leading space stands for one of theirs."""
@@ -165,33 +168,45 @@ class Codec:
 
     def prepare(self, found: list[bytes]) -> list[list[bytes]]:
         """Chunks of each text, all of them encoded in the table from here on."""
-        if len(self.kept) > KEPT_CHUNKS:
-            self.kept = dict(self.last_space)
+        if len(self.kept) > KEPT_CHUNKS:  # chunks that still come are taken over from the older table
+            self.older, self.kept = self.kept, dict(self.last_space)
         chunks = [
             self._chunks(text) if self.chunked and SPACE not in text else [text] if text else [] for text in found
         ]
-        fresh = [chunk for chunk in set(chain.from_iterable(chunks)) if chunk not in self.kept]
+        fresh, kept, older = [], self.kept, self.older
+        for chunk in set(chain.from_iterable(chunks)):
+            if chunk not in kept:
+                if chunk in older:
+                    kept[chunk] = older[chunk]
+                else:
+                    fresh.append(chunk)
         for chunk, ids in zip(fresh, self.library.encode([c.decode() for c in fresh], num_threads=1), strict=True):
             self.kept[chunk] = self._entry(ids, self.normalizer.run(chunk)[1])
         return chunks
 
-    def forget(self) -> None:
-        """Drop long chunks: few of them come again."""
+    def _prepared(self, found: list[bytes]):
+        """(chunks, their entries) of each text; long chunks are dropped after, as few come again."""
+        for chunks in self.prepare(found):
+            yield chunks, [self.kept[chunk] for chunk in chunks]
         for chunk in [c for c in self.kept if len(c) > LONGEST_CHUNK]:
             del self.kept[chunk]
 
     def encode(self, found: list[bytes]):
-        """Yield (ids, ids as text, ends of byte spans) for each text."""
-        for text, chunks in zip(found, self.prepare(found), strict=True):
-            entries = [self.kept[chunk] for chunk in chunks]
-            ids = list(chain.from_iterable(entry[0] for entry in entries))
+        """Yield (ids, ends of their byte spans) for each text."""
+        for chunks, entries in self._prepared(found):
             ends, start = [], 0
             for number, (chunk, entry) in enumerate(zip(chunks, entries, strict=True)):
                 shift = start + (number > 0)  # a chunk after the first lost one space to the library
                 ends += [shift + end for end in entry[2]]
                 start = shift + len(chunk)
-            yield ids, ",".join(entry[1] for entry in entries), ends
-        self.forget()
+            yield list(chain.from_iterable(entry[0] for entry in entries)), ends
+
+    def written(self, found: list[bytes]):
+        """Yield (ids, ids as text, end of the last byte span) for each text."""
+        for chunks, entries in self._prepared(found):
+            ids = list(chain.from_iterable([entry[0] for entry in entries]))
+            last = sum(map(len, chunks[:-1])) + len(chunks) - 1 + entries[-1][2][-1] if ids else 0
+            yield ids, ",".join([entry[1] for entry in entries]), last
 
     def decode(self, ids: list[int]) -> str:
         return self.library.decode(ids) if ids else ""
@@ -209,7 +224,7 @@ def encoded(documents: DataFrame, path: str) -> DataFrame:
         codec = Codec(path)
         for batch in batches:
             ids, ends = [], []
-            for each, _, spans in codec.encode(texts(batch)):
+            for each, spans in codec.encode(texts(batch)):
                 ids.append(each)
                 ends.append(spans)
             yield pa.RecordBatch.from_arrays(
@@ -233,11 +248,11 @@ def digested(documents: DataFrame, path: str) -> DataFrame:
         codec = Codec(path)
         for batch in batches:
             sizes, ids_sha, decoded_sha, covered = [], [], [], []
-            for ids, written, ends in codec.encode(texts(batch)):
+            for ids, written, last in codec.written(texts(batch)):
                 sizes.append(len(ids))
                 ids_sha.append(hashlib.sha256(written.encode()).hexdigest())
                 decoded_sha.append(hashlib.sha256(codec.decode(ids).encode()).hexdigest())
-                covered.append(ends[-1] if ends else 0)
+                covered.append(last)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
