@@ -16,9 +16,17 @@ SPACES = " \t\n\x0b\x0c\r"  # what [^\x20\x09-\x0D]+ leaves out
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Hand rows to Python in batches bounded by bytes as well as by rows."""
+    """Hand rows to Python in batches bounded by bytes as well as by rows.
+
+    Scans are cut alike from here on: unless told, Spark cuts small files by the
+    cores it has at the moment, so an executor lost between two scans of a table
+    would move its row numbers.
+    """
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    least = "spark.sql.files.minPartitionNum"
+    if not spark.conf.get(least, None):
+        spark.conf.set(least, str(spark.sparkContext.defaultParallelism))
 
 
 def numbered(table: DataFrame) -> DataFrame:

@@ -4,8 +4,9 @@ The block list's entries (hosts, standing for their subdomains too) are kept as
 sorted array of 64-bit xxhash keys beside the full strings. A task maps the array
 from a file of its own, probes all hosts of a batch by one vectorised binary
 search, and confirms a hit by the stored string, so a collision cannot block.
-The list is taken in blocks of ``BLOCK`` entries by key range; each is sent to
-the executors by itself, so what is sent is bounded for a list of any length.
+The list is taken in blocks of about ``BLOCK`` entries and ``BLOCK_BYTES`` at most,
+by remainders of the key; each is sent to the executors by itself, so what is sent
+is bounded for a list of any length.
 
 Defined cases: a null url or one without ``://`` has an empty host and path, fits
 no rule and is allowed; repeated rows are judged each on its own; empty pages give
@@ -26,7 +27,7 @@ from playlake.llm.rows import small_batches
 
 SEED = 42  # of Spark's xxhash64, which makes the keys
 BLOCK = 1_000_000
-LONGEST = 1024  # bytes of an entry; host names have 253 at most
+BLOCK_BYTES = 64 << 20
 
 # Verdict, host, path.
 RULES = (
@@ -120,11 +121,10 @@ def _probed(hosts: DataFrame, keys: bytes, strings: list[bytes]) -> DataFrame:
 
 
 def _blocks(entries: DataFrame):
-    """Sorted (keys, strings) of at most about BLOCK entries each, by ranges of the key."""
-    usable = entries.filter(F.octet_length("entry") <= LONGEST).select(
-        "entry", F.xxhash64("entry").alias("key")
-    ).distinct()
-    count = usable.count() // BLOCK + 1
+    """Sorted (keys, strings) of at most about BLOCK entries and BLOCK_BYTES each."""
+    usable = entries.filter("entry is not null").select("entry", F.xxhash64("entry").alias("key")).distinct()
+    size = usable.agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("entry")).alias("bytes")).first()
+    count = max(size.n // BLOCK, (size.bytes or 0) // BLOCK_BYTES) + 1
     for number in range(count):
         rows = usable.filter(F.pmod("key", F.lit(count)) == number).collect()
         rows = sorted((row.key % 2**64, row.entry.encode()) for row in rows)
@@ -145,8 +145,7 @@ def _rule():
 def judged(pages: DataFrame, entries: DataFrame) -> DataFrame:
     """(page_id, host, path, rule, verdict, listed) of every page.
 
-    ``entries`` has one column ``entry``; entries longer than a host name can be
-    match no host.
+    ``entries`` has one column ``entry``; null entries stand for nothing.
     """
     small_batches(pages.sparkSession)
     hosts = host_and_path(pages).withColumn("listed", F.lit(False))
