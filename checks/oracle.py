@@ -377,6 +377,11 @@ def statements() -> dict[str, str]:
         "sql_plays_by_hour": _with(LAYERS, BY_HOUR.replace("{0}", "batch")),
         "sql_level_stats": _with(LAYERS, f"""SELECT level, count(*) AS play_count,
             count(DISTINCT userId) AS user_count, {AVG_SECONDS}, {HOURS} FROM batch GROUP BY level"""),
+        "sql_text_top_songs": _clean(_top(TOP_SONGS, 100, "song", "artist")),
+        "sql_text_top_artists": _clean(_top(TOP_ARTISTS, 100, "artist")),
+        "sql_text_plays_by_hour": _clean(BY_HOUR),
+        "sql_text_level_stats": _clean(f"""SELECT level, count(*) AS play_count,
+            count(DISTINCT userId) AS user_count, {AVG_SECONDS}, {HOURS} FROM clean GROUP BY level"""),
         "merged_events": _with(MERGED, "SELECT * FROM merged"),
         "merged_songs_by_source": _with(
             MERGED,

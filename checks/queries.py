@@ -107,6 +107,21 @@ def database(spark: SparkSession, sf_dir: str) -> catalog.Catalog:
     return _catalogs[key]
 
 
+def whole_database(spark: SparkSession, sf_dir: str) -> catalog.Catalog:
+    """A database over all clean events, declared once per session."""
+    key = (spark.sparkContext.applicationId, f"{sf_dir} whole")
+    if key not in _catalogs:
+        location = fresh_dir(spark, "whole-database")
+        name = "playlake_all_" + location.rsplit("-", 1)[1][:12]
+        _catalogs[key] = catalog.Catalog(spark, name, location)
+        _catalogs[key].play_events(clean_path(spark, sf_dir))
+    return _catalogs[key]
+
+
+def _sql_text(name: str) -> Query:
+    return lambda spark, sf_dir: whole_database(spark, sf_dir).sql_text(name)
+
+
 def _on(source: Query, view: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda spark, sf_dir: view(source(spark, sf_dir))
 
@@ -381,6 +396,10 @@ QUERIES: dict[str, Query] = {
     "merged_songs_by_source": _sql(lambda db: db.merged_songs()),
     "merged_artists_by_source": _sql(lambda db: db.merged_artists()),
     "records_by_source": _sql(lambda db: merge.records_by_source(db.merged_events())),
+    "sql_text_top_songs": _sql_text("top_songs"),
+    "sql_text_top_artists": _sql_text("top_artists"),
+    "sql_text_plays_by_hour": _sql_text("plays_by_hour"),
+    "sql_text_level_stats": _sql_text("level_stats"),
     "sql_top_songs_script": _on(raw, catalog.script_top_songs),
     "sql_top_artists_script": _on(raw, catalog.script_top_artists),
     "sql_plays_by_hour_ts": _on(raw, catalog.script_plays_by_hour),

@@ -10,7 +10,7 @@ from playlake import fixed
 from playlake.operators import counts
 from playlake.plans.batch import run_batch
 from playlake.plans.serving import load_catalog, run_serving
-from playlake.session import prepare
+from playlake.session import prepare, size_for
 from playlake.sources import files, messages
 from playlake.streaming import plays as stream
 from playlake.streaming.plays import BATCH_FOLDERS
@@ -35,22 +35,26 @@ def batch(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def serve(spark: SparkSession, args: argparse.Namespace) -> None:
+    size_for(spark, files.stored_bytes(spark, f"{args.store}/clean"))
     written = run_serving(spark, args.store, args.speed, args.export, args.overlap)
     for name, rows in written.items():
         print(f"{name}: " + ("not in the store, skipped" if rows is None else f"{rows} rows"))
 
 
 def catalog(spark: SparkSession, args: argparse.Namespace) -> None:
+    size_for(spark, files.stored_bytes(spark, args.clean))
     folders = None if args.flat_speed else BATCH_FOLDERS
     load_catalog(spark, args.database, args.clean, args.speed, args.location, folders)
 
 
 def export_json(spark: SparkSession, args: argparse.Namespace) -> None:
+    size_for(spark, files.stored_bytes(spark, args.clean))
     files.write_json(files.read_events(spark, args.clean), args.json)
 
 
 def keyed_counts(spark: SparkSession, args: argparse.Namespace) -> None:
     """The three counts in both forms: with null groups, and by text key."""
+    size_for(spark, files.stored_bytes(spark, args.json))
     events = files.read_json_events(spark, args.json)
     views = {
         "top_artists": counts.bench_top_artists(events),

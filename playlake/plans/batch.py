@@ -10,7 +10,7 @@ from playlake.operators import features, merge, views
 from playlake.plans.models import run_churn, run_segments
 from playlake.schema import EVENT_COLUMNS
 from playlake.session import prepare, size_for
-from playlake.sources.files import read_events, read_landed, read_view, require_events, write_parquet
+from playlake.sources.files import read_events, read_landed, read_view, require_events, stored_bytes, write_parquet
 
 
 def run_batch(
@@ -26,8 +26,8 @@ def run_batch(
     distribution and the clean table, not from scans of their own. The table
     ``landed_until`` marks the micro-batches that were read.
 
-    Give the size of the raw table to cut scans and shuffles for it; without
-    it the cluster's settings apply.
+    Scans and shuffles are cut for the size of the raw table: the one given, or
+    what the listing of its files says.
 
     Events are scanned for the clean table, the two tallies, the sessions, the
     overview and the early-period features. All other views and the segments
@@ -35,9 +35,8 @@ def run_batch(
     lost executor repeats one step only.
     """
     prepare(spark)
-    if input_bytes:
-        size_for(spark, input_bytes)
     require_events(spark, raw_path)
+    size_for(spark, input_bytes or stored_bytes(spark, raw_path))
     # One listing for the mark and the clean table: what lands later is in neither.
     landed = read_landed(spark, raw_path)
     raw = landed.select(*EVENT_COLUMNS)

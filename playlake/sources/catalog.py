@@ -19,6 +19,28 @@ BATCH_TABLE = "play_events"
 SPEED_TABLE = "streaming_events"
 MERGED_VIEW = "merged_events"
 
+_SECONDS = "round(round(avg(duration), 9), 1) AS avg_duration_sec"
+
+# The view tables as SQL text, over any event table of a catalog.
+SQL_TEXTS = {
+    "top_songs": f"""
+        SELECT song, artist, count(*) AS play_count, count(DISTINCT userId) AS unique_listeners, {_SECONDS}
+        FROM {{events}} GROUP BY song, artist
+        ORDER BY play_count DESC, song, artist LIMIT {fixed.TOP_SQL}""",
+    "top_artists": f"""
+        SELECT artist, count(*) AS play_count, count(DISTINCT userId) AS unique_listeners,
+               count(DISTINCT song) AS unique_songs
+        FROM {{events}} GROUP BY artist ORDER BY play_count DESC, artist LIMIT {fixed.TOP_SQL}""",
+    "plays_by_hour": f"""
+        SELECT hour(event_ts) AS hour_of_day, count(*) AS play_count,
+               count(DISTINCT userId) AS active_users, {_SECONDS}
+        FROM {{events}} GROUP BY hour(event_ts)""",
+    "level_stats": f"""
+        SELECT level, count(*) AS play_count, count(DISTINCT userId) AS user_count, {_SECONDS},
+               round(round(sum(duration) / 3600, 9), 2) AS total_hours_played
+        FROM {{events}} GROUP BY level""",
+}
+
 
 class Catalog:
     """One database of play-event tables."""
@@ -97,6 +119,10 @@ class Catalog:
         )
         return self.store("level_stats", levels)
 
+    def sql_text(self, name: str) -> DataFrame:
+        """One of ``SQL_TEXTS`` over the batch table, unstored."""
+        return self.spark.sql(SQL_TEXTS[name].format(events=self.name(BATCH_TABLE)))
+
     def merged_events(self, filter_batch: bool = True) -> DataFrame:
         """A persistent view over both event tables; the script form keeps every batch page."""
         payload = ", ".join(PAYLOAD_COLUMNS)

@@ -44,6 +44,12 @@ def no_events(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], EVENT_DDL)
 
 
+def stored_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of all files below a folder, from their listing; no file is opened."""
+    listing = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    return listing.agg(F.sum("length")).first()[0] or 0
+
+
 def read_view(spark: SparkSession, path: str) -> DataFrame:
     """Any Parquet table with the schema of its footer."""
     return spark.read.parquet(path)
