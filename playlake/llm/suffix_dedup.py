@@ -9,8 +9,9 @@ Exact over the whole table, whatever the number of copies:
    common to them, and together they make a *segment* of at most 576 bytes.
 2. *Copies.* Segments with a core that occurs once are dropped. Segments that
    occur twice or more are repeated as a whole.
-3. *Narrower classes.* The distinct segments of the other cores are cut into ``FINE``
-   classes by finer offsets, whose longer cores settle most strings as in 2.
+3. *Narrower classes.* The distinct segments of the other cores come together by core
+   and are cut into ``FINE`` classes by finer offsets, whose longer cores settle most
+   strings as in 2.
 4. *Interval expansion.* Narrow segments that still differ are joined, whole cores at
    a time, to one text, in which the core, the same in all of a group, is one symbol.
    The text is suffix-sorted, and the intervals of equal prefixes are extended
@@ -18,8 +19,10 @@ Exact over the whole table, whatever the number of copies:
    round splits intervals where their extensions differ, which gives the common
    prefixes by rising length; intervals that hold one suffix are left, and what
    stands at full length is repeated.
-5. *Hot cores*, with more narrow segments than fit into such a text, are settled
-   string by string by grouping 128-bit hashes, which spreads them over all tasks.
+5. *Hot cores*, with more than ``NEAR`` segments, are not brought together: their
+   narrow segments are grouped over all tasks by hashes, so that 4 gets the narrow
+   cores of at most ``HOT``; beyond, strings are settled one by one by grouping
+   128-bit hashes.
 
 Strings never cross texts. Defined cases: a null text is empty; texts shorter than
 LENGTH have nothing to remove; strings of a text that overlap count as repeats if
@@ -31,6 +34,7 @@ unchanged through :func:`without_repeats`.
 from __future__ import annotations
 
 import hashlib
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -47,9 +51,11 @@ CORE = LENGTH - HALF + 1  # bytes that all strings of a segment hold
 FINE = 11  # narrower classes of a segment
 WIDE = HALF // FINE  # strings of a narrower class
 LONG_CORE = LENGTH - WIDE + 1  # bytes that all strings of a narrower class hold
+NEAR = 2_000  # distinct segments of a core that are brought together
 HOT = 10_000  # distinct narrow segments of a core beyond which it is hot
 TEXT_BYTES = 512 << 10
 TASK_BYTES = 32 << 20
+RANGE_ROWS = 10_000
 
 _BYTE_VALUES = np.random.default_rng(400).integers(0, 2**63, 256, dtype=np.uint64)
 
@@ -87,8 +93,12 @@ def anchors(text: bytes) -> np.ndarray:
     return np.flatnonzero(_sliding(around, OFFSETS, np.maximum) == grams)
 
 
-def segments(text: bytes) -> set[tuple[int, int, int, int, int]]:
-    """(core hash, segment hash, start, length, core's place in it) of a text, each once."""
+def segments(text: bytes) -> set[tuple[int, int, int]]:
+    """(core hash, segment hash, place) of a text, each once.
+
+    A place holds the start, the length and the core's place in the segment; the
+    latter two are below 1,024.
+    """
     found, last, digest = set(), len(text) - LENGTH, xxhash.xxh3_64_intdigest
     for place in anchors(text).tolist():
         for core in (place, place - HALF):
@@ -96,7 +106,7 @@ def segments(text: bytes) -> set[tuple[int, int, int, int, int]]:
             if low <= high:
                 skip = core - low
                 key = digest(text[core : core + CORE], core != place)
-                found.add((key, digest(text[low : high + LENGTH], skip), low, high - low + LENGTH, skip))
+                found.add((key, digest(text[low : high + LENGTH], skip), low << 20 | high - low + LENGTH << 10 | skip))
     return found
 
 
@@ -107,17 +117,15 @@ def _segment_batches(batches):
             some = segments(text)
             rids += [rid] * len(some)
             found += some
-        cores, hashes, starts, sizes, skips = zip(*found, strict=True) if found else [()] * 5
+        cores, hashes, places = zip(*found, strict=True) if found else [()] * 3
         yield pa.RecordBatch.from_arrays(
             [
                 pa.array(np.array(cores, np.uint64).view(np.int64)),
                 pa.array(np.array(hashes, np.uint64).view(np.int64)),
                 pa.array(rids, pa.int64()),
-                pa.array(starts, pa.int32()),
-                pa.array(sizes, pa.int32()),
-                pa.array(skips, pa.int32()),
+                pa.array(places, pa.int64()),
             ],
-            ["core", "segment", "rid", "start", "size", "skip"],
+            ["core", "segment", "rid", "place"],
         )
 
 
@@ -250,6 +258,53 @@ def _expanded(batches):
         yield _compared(rows)
 
 
+def _sorted_out(rows: list[tuple], found: list[tuple]) -> list[tuple]:
+    """The narrow segments of a core that differ; ranges of those copied as a whole go to ``found``."""
+    classes: dict[tuple[int, bytes], dict[tuple[int, bytes], list[tuple]]] = {}
+    for _, rid, start, data, single, skip in rows:
+        for part in range(FINE):
+            at = _narrow(len(data), skip, part)
+            if at:
+                first, last, held = at
+                members = classes.setdefault((part, data[held : held + LONG_CORE]), {})
+                members.setdefault((held - first, data[first : last + LENGTH]), []).append((rid, start + first, single))
+    mixed = []
+    for (part, _), members in classes.items():
+        some = []
+        for (held, whole), places in members.items():
+            rid, start, single = places[0]
+            alone = single and len(places) == 1
+            some.append(((rows[0][0], part), rid, start, whole, alone, held))
+            if not alone:
+                found += [(rid, start, start + len(whole)) for rid, start, single in places if single]
+        if len(some) > 1 and any(each[4] for each in some):
+            mixed += some
+    return mixed
+
+
+_RANGES = {"rid": pa.int64(), "a": pa.int32(), "b": pa.int32()}
+
+
+def _settled(batches):
+    """Repeated ranges within whole cores, some at a time; rows come ordered by core."""
+    names = ("core", "rid", "start", "data", "single", "skip")
+    every = (row for batch in batches for row in zip(*(batch.column(c).to_pylist() for c in names), strict=True))
+    rows, found, size = [], [], 0
+    for _, members in groupby(every, lambda row: row[0]):
+        mixed = _sorted_out(list(members), found)
+        rows += mixed
+        size += sum(len(each[3]) - LONG_CORE + 2 for each in mixed)
+        if size >= TEXT_BYTES:
+            yield _compared(rows)
+            rows, size = [], 0
+        if len(found) >= RANGE_ROWS:
+            yield _columns(found, _RANGES)
+            found = []
+    if rows:
+        yield _compared(rows)
+    yield _columns(found, _RANGES)
+
+
 def _cut_out(batch: pa.RecordBatch) -> pa.RecordBatch:
     """The bytes of the wanted segments of each text."""
     columns: dict[str, list] = {c: [] for c in ("core", "rid", "start", "data", "single", "skip")}
@@ -273,7 +328,7 @@ def _columns(rows: list[tuple], kinds: dict[str, pa.DataType]) -> pa.RecordBatch
     return pa.RecordBatch.from_arrays(arrays, list(kinds))
 
 
-def _narrow(start: int, size: int, skip: int, part: int) -> tuple[int, int, int] | None:
+def _narrow(size: int, skip: int, part: int) -> tuple[int, int, int] | None:
     """(first, last, core's place) of the strings of a narrower class, within the segment.
 
     Strings count by how far before the core they start: class ``part`` holds those
@@ -292,7 +347,7 @@ def _narrower(batch: pa.RecordBatch) -> pa.RecordBatch:
     signed = lambda x: x - 2**64 if x >= 2**63 else x
     for piece, core, rid, start, data, single, skip in zip(*(batch.column(c).to_pylist() for c in names), strict=True):
         for part in range(FINE):
-            found = _narrow(start, len(data), skip, part)
+            found = _narrow(len(data), skip, part)
             if found:
                 first, last, held = found
                 longer = data[held : held + LONG_CORE]  # common to the class
@@ -309,7 +364,7 @@ def _taken(batch: pa.RecordBatch) -> pa.RecordBatch:
     names = ("rid", "start", "data", "skip", "wanted")
     for rid, start, data, skip, wanted in zip(*(batch.column(c).to_pylist() for c in names), strict=True):
         for each in wanted:
-            first, last, held = _narrow(start, len(data), skip, each["part"])
+            first, last, held = _narrow(len(data), skip, each["part"])
             part = data[first : last + LENGTH]
             rows.append((each["core"], rid, start + first, part, each["single"], held - first, each["hot"]))
     kinds = {"core": pa.int64(), "rid": pa.int64(), "start": pa.int32(), "data": pa.binary()}
@@ -339,8 +394,8 @@ def _of_hot_cores(hot: DataFrame) -> DataFrame:
     return found.select("rid", F.col("start").alias("a"), (F.col("start") + LENGTH).alias("b"))
 
 
-def _of_mixed_cores(cut: DataFrame) -> DataFrame:
-    """Repeated ranges of single segments that share a core with others (a stored table)."""
+def _of_wide_cores(cut: DataFrame) -> DataFrame:
+    """Repeated ranges of single segments of cores with many others (a stored table)."""
     cut = cut.withColumn("piece", F.monotonically_increasing_id())
     classes = "piece long, part int, core long, segment long, rid long, a int, b int, single boolean"
     narrow = stored(map_batches(cut, _narrower, classes), "suffix-narrow")
@@ -377,46 +432,51 @@ def repeats(rows: DataFrame) -> DataFrame:
     """(rid, a, b): ranges that cover the repeated strings of all texts (rid, text)."""
     small_batches(rows.sparkSession)
     every = stored(
-        rows.select("rid", "text").mapInArrow(
-            _segment_batches, "core long, segment long, rid long, start int, size int, skip int"
-        ),
+        rows.select("rid", "text").mapInArrow(_segment_batches, "core long, segment long, rid long, place long"),
         "suffix-segments",
     )
     # Some cores come twice or more; the rest of the work sees only those.
     again = every.groupBy("core").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("core")
     shared = stored(every.join(again, "core"), "suffix-shared")
+    # Copies hold the same bytes, so any of them may stand for all; it is fixed by storing it.
     distinct = stored(
         shared.groupBy("core", "segment").agg(
-            F.count(F.lit(1)).alias("n"), F.min(F.struct("rid", "start", "size", "skip")).alias("at")
+            F.count(F.lit(1)).alias("n"), F.first("rid").alias("rid"), F.first("place").alias("place")
         ),
         "suffix-distinct",
     )
+    start, size, skip = F.shiftright("place", 20), F.shiftright("place", 10) % 1024, F.col("place") % 1024
     copied = distinct.filter("n > 1").select("core", "segment")
     whole = shared.join(copied, ["core", "segment"]).select(
-        "rid", F.col("start").alias("a"), (F.col("start") + F.col("size")).alias("b")
+        "rid", start.cast("int").alias("a"), (start + size).cast("int").alias("b")
     )
     # A segment that is not copied as a whole may share strings with others of its core.
     mixed = distinct.groupBy("core").agg(
         F.count(F.lit(1)).alias("segments"), F.sum((F.col("n") == 1).cast("int")).alias("singles")
     )
-    mixed = mixed.filter("segments > 1 and singles > 0").select("core")
-    compared = distinct.join(mixed, "core").select(
-        F.col("at.rid").alias("rid"),
-        F.struct(
-            "core", F.col("at.start").alias("start"), F.col("at.size").alias("size"),
-            (F.col("n") == 1).alias("single"), F.col("at.skip").alias("skip"),
-        ).alias("wanted"),
+    mixed = mixed.filter("segments > 1 and singles > 0").select("core", (F.col("segments") > NEAR).alias("wide"))
+    compared = stored(
+        distinct.join(mixed, "core").select(
+            "core", "rid", "wide", start.cast("int").alias("start"), size.cast("int").alias("size"),
+            (F.col("n") == 1).alias("single"), skip.cast("int").alias("skip"),
+        ),
+        "suffix-mixed",
     )
-    wanted = compared.groupBy("rid").agg(F.collect_list("wanted").alias("wanted"))
-    cut = stored(
-        map_batches(
-            rows.select("rid", "text").join(wanted, "rid"),
+    sums = compared.agg(F.sum("size").alias("bytes"), F.max("wide").alias("wide")).first()
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tasks = max(tasks, (sums.bytes or 0) // TASK_BYTES + 1)
+
+    def cut(chosen: DataFrame) -> DataFrame:
+        wanted = F.collect_list(F.struct("core", "start", "size", "single", "skip")).alias("wanted")
+        return map_batches(
+            rows.select("rid", "text").join(chosen.groupBy("rid").agg(wanted), "rid"),
             _cut_out,
             "core long, rid long, start int, data binary, single boolean, skip int",
-        ),
-        "suffix-cut",
-    )
-    return whole.union(_of_mixed_cores(cut))
+        )
+
+    near = cut(compared.filter("not wide")).repartition(tasks, "core").sortWithinPartitions("core")
+    found = whole.union(near.mapInArrow(_settled, "rid long, a int, b int"))
+    return found.union(_of_wide_cores(stored(cut(compared.filter("wide")), "suffix-cut"))) if sums.wide else found
 
 
 def _merged(ranges: list[dict] | None) -> list[Range]:

@@ -295,8 +295,9 @@ def repeated_texts():
     ]
 
 
-@pytest.mark.parametrize("hot", [2000, 1])
-def test_suffix_dedup_matches_a_plain_search(docs, monkeypatch, hot):
+@pytest.mark.parametrize(("near", "hot"), [(2000, 2000), (0, 2000), (0, 1), (3, 1)])
+def test_suffix_dedup_matches_a_plain_search(docs, monkeypatch, near, hot):
+    monkeypatch.setattr(suffix_dedup, "NEAR", near)
     monkeypatch.setattr(suffix_dedup, "HOT", hot)
     texts = repeated_texts()
     rows = [*ODD, *enumerate(texts, 100), (100, texts[9])]
