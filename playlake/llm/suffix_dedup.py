@@ -435,8 +435,10 @@ def repeats(rows: DataFrame) -> DataFrame:
         rows.select("rid", "text").mapInArrow(_segment_batches, "core long, segment long, rid long, place long"),
         "suffix-segments",
     )
-    # Some cores come twice or more; the rest of the work sees only those.
+    # Some cores come twice or more; the rest of the work sees only those. They are stored
+    # first: joins of two plain shuffles are those that Spark splits at a hot core.
     again = every.groupBy("core").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("core")
+    again = stored(again, "suffix-again")
     shared = stored(every.join(again, "core"), "suffix-shared")
     # Copies hold the same bytes, so any of them may stand for all; it is fixed by storing it.
     distinct = stored(
@@ -455,6 +457,7 @@ def repeats(rows: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("segments"), F.sum((F.col("n") == 1).cast("int")).alias("singles")
     )
     mixed = mixed.filter("segments > 1 and singles > 0").select("core", (F.col("segments") > NEAR).alias("wide"))
+    mixed = stored(mixed, "suffix-mixed-cores")
     compared = stored(
         distinct.join(mixed, "core").select(
             "core", "rid", "wide", start.cast("int").alias("start"), size.cast("int").alias("size"),
