@@ -108,7 +108,7 @@ class Normalizer:
             out += self.space
             source += [prefixes[0][0]] * len(self.space)
         gap = self.remove_extra
-        for start, _, plain in prefixes:
+        for start, size, plain in prefixes:
             if self.remove_extra and gap:
                 plain = plain.lstrip(b" ")
             if not plain:
@@ -116,7 +116,8 @@ class Normalizer:
             gap = plain.endswith(b" ")
             piece = plain.replace(b" ", self.space)
             out += piece
-            source += [start] * len(piece)
+            copied = text[start : start + size] == piece
+            source += range(start, start + size) if copied else [start] * len(piece)
         end = prefixes[-1][0] + prefixes[-1][1]
         if self.remove_extra:
             while out.endswith(self.space):
@@ -149,7 +150,8 @@ class Codec:
         self.kept: dict[bytes, tuple] = {}
         # A last space alone: the library gets nothing of it, and gives nothing.
         space = self.library.piece_to_id("▁")
-        self.last_space = {b"": ([space], str(space), [0])}
+        self.names = list(map(str, range(len(names))))
+        self.last_space = {b"": self._entry([space], [0])}
         self.kept |= self.last_space
         self.older: dict[bytes, tuple] = {}
 
@@ -159,10 +161,34 @@ class Codec:
         return [source[p if p < last else last] for p in accumulate([self.widths[k] for k in ids])]
 
     def _entry(self, ids: list[int], source: list[int]) -> tuple:
-        return tuple(ids), ",".join(map(str, ids)), tuple(self._spans(ids, source))
+        """Ids, ids as text, ends and number of a chunk's pieces."""
+        ends = self._spans(ids, source)
+        return np.array(ids, np.int32).tobytes(), ",".join(map(str, ids)), np.array(ends, np.int32).tobytes(), len(ids)
+
+    def _entries(self, chunks: list[bytes], found: list[list[int]]):
+        """Entries of chunks whose spaces all lead, as :meth:`_entry` gives them."""
+        counts = np.fromiter(map(len, found), np.int64, len(found))
+        sizes = np.fromiter(map(len, chunks), np.int64, len(chunks))
+        spaces = sizes - np.fromiter((len(c.lstrip(b" ")) for c in chunks), np.int64, len(chunks))
+        ids = np.fromiter(chain.from_iterable(found), np.int32, int(counts.sum()))
+        places = np.cumsum(np.array(self.widths, np.int64)[ids])
+        stops = np.cumsum(counts)
+        before = np.concatenate([[0], places])[stops - counts]
+        # Past the library's own space; then each space of the chunk is as wide as the mark.
+        wide = len(self.normalizer.space)
+        places -= np.repeat(before, counts) + wide
+        lead = np.repeat(spaces, counts)
+        places = np.where(places < lead * wide, np.maximum(places, 0) // wide, places - lead * (wide - 1))
+        ends = np.minimum(places, np.repeat(sizes, counts)).astype(np.int32).tobytes()
+        ids, names, start = ids.tobytes(), self.names, 0
+        for each, stop in zip(found, (4 * stops).tolist(), strict=True):
+            yield ids[start:stop], ",".join([names[k] for k in each]), ends[start:stop], len(each)
+            start = stop
 
     def _chunks(self, text: bytes) -> list[bytes]:
         """Chunks as the library gets them: its own leading space stands for one of theirs."""
+        if text and b"  " not in text and not text.startswith(b" "):
+            return text.split(b" ")
         found = CHUNK.findall(text)
         return found[:1] + [chunk[1:] for chunk in found[1:]]
 
@@ -180,38 +206,50 @@ class Codec:
                     kept[chunk] = older[chunk]
                 else:
                     fresh.append(chunk)
-        for chunk, ids in zip(fresh, self.library.encode([c.decode() for c in fresh], num_threads=1), strict=True):
-            self.kept[chunk] = self._entry(ids, self.normalizer.run(chunk)[1])
+        whole = [chunk for chunk in fresh if not self.chunked or SPACE in chunk]
+        for chunk, ids in zip(whole, self.library.encode([c.decode() for c in whole], num_threads=1), strict=True):
+            kept[chunk] = self._entry(ids, self.normalizer.run(chunk)[1])
+        fresh = [chunk for chunk in fresh if chunk not in kept]
+        ids = self.library.encode([c.decode() for c in fresh], num_threads=1)
+        kept.update(zip(fresh, self._entries(fresh, ids), strict=True))
+        self.long = [chunk for chunk in chain(whole, fresh) if len(chunk) > LONGEST_CHUNK]
         return chunks
 
     def _prepared(self, found: list[bytes]):
         """(chunks, their entries) of each text; long chunks are dropped after, as few come again."""
         for chunks in self.prepare(found):
-            yield chunks, [self.kept[chunk] for chunk in chunks]
-        for chunk in [c for c in self.kept if len(c) > LONGEST_CHUNK]:
+            yield chunks, list(map(self.kept.__getitem__, chunks))
+        for chunk in self.long:
             del self.kept[chunk]
 
+    def aligned(self, found: list[bytes]):
+        """Yield (ids, ids as text, ends of their byte spans) for each text."""
+        for chunks, entries in self._prepared(found):
+            if not entries:
+                yield [], "", []
+                continue
+            ids, written, ends, counts = zip(*entries, strict=True)
+            sizes = np.fromiter(map(len, chunks), np.int64, len(chunks))
+            sizes += 1  # a chunk after the first lost one space to the library
+            ends = np.frombuffer(b"".join(ends), np.int32) + np.repeat(np.cumsum(sizes) - sizes, counts)
+            yield np.frombuffer(b"".join(ids), np.int32).tolist(), ",".join(written), ends.tolist()
+
     def encode(self, found: list[bytes]):
         """Yield (ids, ends of their byte spans) for each text."""
-        for chunks, entries in self._prepared(found):
-            ends, start = [], 0
-            for number, (chunk, entry) in enumerate(zip(chunks, entries, strict=True)):
-                shift = start + (number > 0)  # a chunk after the first lost one space to the library
-                ends += [shift + end for end in entry[2]]
-                start = shift + len(chunk)
-            yield list(chain.from_iterable(entry[0] for entry in entries)), ends
-
-    def written(self, found: list[bytes]):
-        """Yield (ids, ids as text, end of the last byte span) for each text."""
-        for chunks, entries in self._prepared(found):
-            ids = list(chain.from_iterable([entry[0] for entry in entries]))
-            last = sum(map(len, chunks[:-1])) + len(chunks) - 1 + entries[-1][2][-1] if ids else 0
-            yield ids, ",".join([entry[1] for entry in entries]), last
+        for ids, _, ends in self.aligned(found):
+            yield ids, ends
 
     def decode(self, ids: list[int]) -> str:
         return self.library.decode(ids) if ids else ""
 
 
+def _digests(codec: Codec, batch: pa.RecordBatch):
+    """Yield (ids, ends, digest of the ids as text, digest of the decoded text) of a batch's texts."""
+    for ids, written, ends in codec.aligned(texts(batch)):
+        decoded = codec.decode(ids)
+        yield ids, ends, hashlib.sha256(written.encode()).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest()
+
+
 def encoded(documents: DataFrame, path: str) -> DataFrame:
     """(doc_id, ids, ends): piece ids and the end of each piece's byte span in the text.
 
@@ -248,11 +286,11 @@ def digested(documents: DataFrame, path: str) -> DataFrame:
         codec = Codec(path)
         for batch in batches:
             sizes, ids_sha, decoded_sha, covered = [], [], [], []
-            for ids, written, last in codec.written(texts(batch)):
+            for ids, ends, digest, decoded in _digests(codec, batch):
                 sizes.append(len(ids))
-                ids_sha.append(hashlib.sha256(written.encode()).hexdigest())
-                decoded_sha.append(hashlib.sha256(codec.decode(ids).encode()).hexdigest())
-                covered.append(last)
+                ids_sha.append(digest)
+                decoded_sha.append(decoded)
+                covered.append(ends[-1] if ends else 0)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),

@@ -530,3 +530,17 @@ def test_pipeline_stages_match_plain_versions(spark, tmp_path):
     for r in found["sentencepiece"].collect():
         assert list(r.ids) == library.encode(clean[r.doc_id])
     assert corpus_pipeline.run(spark, TINY).count() == len(clean)
+
+
+def test_query_columns_come_from_each_piece_span(docs, monkeypatch):
+    # The query's covered bytes end where its last projected piece does, with runs of spaces and bytes alone too.
+    texts = ["a  b 漢", "   👩 x", "▁a 漢", "é" * 100 + " z", " ", "", None]
+    codec = pieces.Codec(queries.PIECE_MODEL)
+    spans = [ends for _, ends in codec.encode([(t or "").encode() for t in texts])]
+    got = {r.doc_id: r.n_covered for r in pieces.digested(docs(texts), queries.PIECE_MODEL).collect()}
+    assert got == {n: ends[-1] if ends else 0 for n, ends in enumerate(spans)}
+    for text, (ids, ends) in zip(texts, codec.encode([(t or "").encode() for t in texts]), strict=True):
+        source = codec.normalizer.run((text or "").encode())[1]
+        assert ends == codec._spans(ids, source)
+        starts = [0, *ends][:-1]
+        assert all(b - a == 1 for k, a, b in zip(ids, starts, ends, strict=True) if codec.library.is_byte(k))
