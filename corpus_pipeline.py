@@ -32,7 +32,7 @@ def no_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def piece_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Piece ids and byte spans of every document, and digests of ids and decoded text."""
+    """Piece ids and byte spans of every document, their number, and digests of ids and decoded text."""
     return pieces.encoded(docs, PIECE_MODEL)
 
 

@@ -251,9 +251,11 @@ def _digests(codec: Codec, batch: pa.RecordBatch):
 
 
 def encoded(documents: DataFrame, path: str) -> DataFrame:
-    """(doc_id, ids, ends): piece ids and the end of each piece's byte span in the text.
+    """(doc_id, ids, ends, n_tokens, ids_sha256, decoded_sha256) of every document.
 
-    Spans follow each other: a piece starts where the one before it ends.
+    ``ids`` are piece ids, ``ends`` the end of each piece's byte span in the text, and
+    the digests are of the ids and of the text decoded from them. Spans follow each
+    other: a piece starts where the one before it ends.
     """
     small_batches(documents.sparkSession)
     rows = numbered(documents)
@@ -261,17 +263,24 @@ def encoded(documents: DataFrame, path: str) -> DataFrame:
     def run(batches):
         codec = Codec(path)
         for batch in batches:
-            ids, ends = [], []
-            for each, spans in codec.encode(texts(batch)):
-                ids.append(each)
-                ends.append(spans)
+            ids, ends, ids_sha, decoded_sha = zip(*_digests(codec, batch), strict=True) if batch.num_rows else [()] * 4
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(ids, pa.list_(pa.int32())), pa.array(ends, pa.list_(pa.int32()))],
-                ["doc_id", "ids", "ends"],
+                [
+                    batch.column("doc_id"),
+                    pa.array(ids, pa.list_(pa.int32())),
+                    pa.array(ends, pa.list_(pa.int32())),
+                    pa.array(map(len, ids), pa.int64()),
+                    pa.array(ids_sha, pa.string()),
+                    pa.array(decoded_sha, pa.string()),
+                ],
+                ["doc_id", "ids", "ends", "n_tokens", "ids_sha256", "decoded_sha256"],
             )
 
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"doc_id {kind}, ids array<int>, ends array<int>")
+    return rows.mapInArrow(
+        run,
+        f"doc_id {kind}, ids array<int>, ends array<int>, n_tokens long, ids_sha256 string, decoded_sha256 string",
+    )
 
 
 def digested(documents: DataFrame, path: str) -> DataFrame:

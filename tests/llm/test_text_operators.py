@@ -532,6 +532,30 @@ def test_pipeline_stages_match_plain_versions(spark, tmp_path):
     assert corpus_pipeline.run(spark, TINY).count() == len(clean)
 
 
+def test_last_stage_digests_ids_and_decoded_text(spark):
+    library = sentencepiece.SentencePieceProcessor(model_file=queries.PIECE_MODEL)
+    docs = spark.read.parquet(f"{TINY}/documents.parquet")
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    got = corpus_pipeline.piece_ids(spark, docs, TINY).collect()
+    assert len(got) == len(texts)
+    for r in got:
+        ids = library.encode(texts[r.doc_id])
+        assert (list(r.ids), r.n_tokens, r.ends[-1]) == (ids, len(ids), len(texts[r.doc_id].encode()))
+        assert r.ids_sha256 == sha(",".join(map(str, ids)))
+        assert r.decoded_sha256 == sha(library.decode(ids))
+
+
+def test_last_stage_on_odd_rows(docs):
+    library = sentencepiece.SentencePieceProcessor(model_file=queries.PIECE_MODEL)
+    want = Counter()
+    for key, text in ODD:
+        ids = library.encode(text or "")
+        want[key, len(ids), sha(",".join(map(str, ids))), sha(library.decode(ids) if ids else "")] += 1
+    got = pieces.encoded(docs(ODD, clash=True), queries.PIECE_MODEL)
+    assert Counter((r.doc_id, r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in got.collect()) == want
+    assert pieces.encoded(docs([]), queries.PIECE_MODEL).count() == 0
+
+
 def test_query_columns_come_from_each_piece_span(docs, monkeypatch):
     # The query's covered bytes end where its last projected piece does, with runs of spaces and bytes alone too.
     texts = ["a  b 漢", "   👩 x", "▁a 漢", "é" * 100 + " z", " ", "", None]
