@@ -44,6 +44,7 @@ BANDS, BAND_ROWS = 24, 4
 SIZE = BANDS * BAND_ROWS
 LONG_WORD = 64
 CELLS = 256
+MOST = 65535  # of a cell's count
 BLOCK = 1024
 MASK = 2**64 - 1
 
@@ -179,12 +180,12 @@ def _sketch(batch: pa.RecordBatch) -> pa.RecordBatch:
 def _cells(text: np.ndarray, value: np.ndarray, weight: np.ndarray, count: int) -> list[bytes]:
     """Each text's shingles per cell of their values, as 16-bit counts.
 
-    A text with more in a cell than that gets the largest count in all cells, which
-    bounds nothing.
+    A text with more in a cell than that gets the largest count in all cells; two such
+    texts are bounded by their sizes alone.
     """
     cell = text * CELLS + (value % np.uint64(CELLS)).astype(np.int64)
     counts = np.bincount(cell, weight, minlength=count * CELLS).reshape(count, CELLS)
-    counts[(counts > 65535).any(axis=1)] = 65535
+    counts[(counts > MOST).any(axis=1)] = MOST
     return [row.tobytes() for row in counts.astype(np.uint16)]
 
 
@@ -210,6 +211,7 @@ def _likely_pairs(batches):
         rids, classes_, sizes = (np.array([r[k] for r in rows], np.int64) for k in (1, 2, 3))
         blocks = np.array([r[0] for r in rows], np.int64)
         cells = np.frombuffer(b"".join(r[4] for r in rows), np.uint16).reshape(-1, CELLS)
+        full = (cells == MOST).all(axis=1)
         first, second = [], []
         for one in np.flatnonzero(blocks == left).tolist():
             others = classes_ != classes_[one]
@@ -217,6 +219,7 @@ def _likely_pairs(batches):
             others = np.flatnonzero(others)
             small = np.minimum(sizes[others], sizes[one])
             both = np.minimum(np.minimum(cells[others], cells[one]).sum(axis=1, dtype=np.int64), small)
+            both = np.where(full[others] & full[one], small, both)
             likely = others[5 * both >= 4 * (sizes[others] + sizes[one] - both)]
             first += [int(rids[one])] * len(likely)
             second += rids[likely].tolist()

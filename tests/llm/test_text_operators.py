@@ -10,6 +10,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import sentencepiece
 from tokenizers import Tokenizer
@@ -568,3 +569,19 @@ def test_query_columns_come_from_each_piece_span(docs, monkeypatch):
         assert ends == codec._spans(ids, source)
         starts = [0, *ends][:-1]
         assert all(b - a == 1 for k, a, b in zip(ids, starts, ends, strict=True) if codec.library.is_byte(k))
+
+
+def test_coarse_counts_keep_pairs_of_very_long_texts():
+    def likely(*weights):
+        count, sizes = len(weights), list(weights)
+        cells = near_dedup._cells(np.arange(count), np.full(count, 7, np.uint64), np.array(weights), count)
+        columns = {
+            "key": [1] * count, "left": [0] * count, "right": [0] * count, "block": [0] * count,
+            "rid": list(range(count)), "class": list(range(count)), "size": sizes, "cells": cells,
+        }
+        [found] = near_dedup._likely_pairs([pa.RecordBatch.from_pydict(columns)])
+        return list(zip(*(found.column(c).to_pylist() for c in "ab"), strict=True))
+
+    # Each has more in its cell than a count holds; only the sizes bound such pairs.
+    assert likely(19_000_000, 19_000_000, 16_000_000, 10_000_000) == [(0, 1), (0, 2), (1, 2)]
+    assert likely(60_000, 50_000, 40_000) == [(0, 1), (1, 2)]
