@@ -3,6 +3,7 @@
 import pytest
 
 import __spark_entry__ as contract
+from checks import oracle
 from checks.compare import differences, duck
 from tests.conftest import TINY
 
@@ -12,7 +13,7 @@ def con():
     return duck(TINY)
 
 
-@pytest.mark.parametrize("name", sorted(contract.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(oracle.statements()))
 def test_matches_sql(spark, con, name):
     assert differences(spark, con, TINY, name) is None
 
