@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from playlake.llm import (
     decontamination,
+    importance,
     licenses,
     lm_scoring,
     near_dedup,
@@ -17,7 +18,9 @@ from playlake.llm import (
     quality_rules,
     suffix_dedup,
     token_counts,
+    token_files,
     url_filter,
+    whitening,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -71,6 +74,18 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.grouped(table(spark, sf_dir, "documents"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(table(spark, sf_dir, "embeddings"))
+
+
+def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.listed(table(spark, sf_dir, "documents"), WORD_MODEL)
+
+
+def op13_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resampled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -89,6 +104,9 @@ def registered() -> dict[str, Query]:
         op8_sentencepiece,
         op9_license_scans,
         op10_near_dedup,
+        op11_whitening,
+        op12_token_files,
+        op13_importance,
         pipeline,
     )
     return {op.__name__: op for op in ops}
@@ -192,6 +210,56 @@ FROM ruled
 """
 
 
+# crc32 of a word: its bytes, one after the other, through the table of the polynomial.
+OP13 = rf"""
+WITH steps AS (
+  SELECT list_transform(range(256), lambda n: list_reduce(list_prepend(n::BIGINT, [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]),
+    lambda c, ignored: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END)) AS crc
+), docs AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+  FROM documents
+), items AS (
+  SELECT unnest(regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS w
+  FROM benchmark
+), counted AS (
+  SELECT r, w, count(*) AS n FROM (SELECT r, unnest(words) AS w FROM docs) GROUP BY r, w
+), vocabulary AS (
+  SELECT w, xor(list_reduce(
+      list_prepend(4294967295::BIGINT, list_transform(range(octet_length(encode(w))),
+        lambda i: ('0x' || substr(hex(encode(w)), 2 * i + 1, 2))::BIGINT)),
+      lambda c, b: xor(c >> 8, crc[(xor(c, b) & 255) + 1])), 4294967295) % {importance.BUCKETS} AS bucket
+  FROM (SELECT w FROM counted UNION SELECT w FROM items), steps
+), source AS (
+  SELECT bucket, sum(n)::BIGINT AS s FROM counted JOIN vocabulary USING (w) GROUP BY bucket
+), target AS (
+  SELECT bucket, count(*) AS t FROM items JOIN vocabulary USING (w) GROUP BY bucket
+), gains AS (
+  SELECT bucket, floor(1000 * ln(
+      ((coalesce(t, 0) + 1) * ((SELECT sum(s) FROM source) + {importance.BUCKETS}))::DOUBLE
+      / ((coalesce(s, 0) + 1) * ((SELECT sum(t) FROM target) + {importance.BUCKETS}))::DOUBLE))::BIGINT AS gain
+  FROM source FULL JOIN target USING (bucket)
+), weights AS (
+  SELECT r, sum(n * gain)::BIGINT AS weight FROM counted JOIN vocabulary USING (w) JOIN gains USING (bucket) GROUP BY r
+), scored AS (
+  SELECT r, doc_id, len(words)::BIGINT AS n_features, coalesce(weight, 0) AS weight,
+    coalesce(weight, 0) + floor(-1000 * ln(-ln(
+      (('0x' || substr(sha256('{importance.SEED}:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT + 0.5::DOUBLE)
+      / 4294967296::DOUBLE)))::BIGINT AS score
+  FROM docs LEFT JOIN weights USING (r)
+), places AS (
+  SELECT r, row_number() OVER (ORDER BY score DESC, doc_id NULLS LAST, n_features, r) AS place
+  FROM scored WHERE n_features >= {importance.LEAST_WORDS}
+)
+SELECT doc_id, n_features, weight, score,
+  CASE WHEN place <= (SELECT {importance.PERCENT} * count(*) // 100 FROM places) THEN place END AS rank
+FROM scored LEFT JOIN places USING (r)
+"""
+
+
 def statements() -> dict[str, str]:
     """SQL of the queries that it can say: models, library ids and graph steps have none."""
-    return {"op1_quality_rules": OP1, "op2_decontamination": OP2, "op5_url_filters": OP5}
+    return {"op1_quality_rules": OP1, "op2_decontamination": OP2, "op5_url_filters": OP5, "op13_importance": OP13}
