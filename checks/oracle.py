@@ -243,6 +243,10 @@ WINDOWS = f"""SELECT time_bucket(INTERVAL 1 MINUTE, event_ts) AS window_start,
   time_bucket(INTERVAL 1 MINUTE, event_ts) + INTERVAL 1 MINUTE AS window_end,
   artist, song, count(*) AS play_count, {AVG_SECONDS}
   FROM {{0}} GROUP BY 1, 2, artist, song"""
+PERIODS = (
+    "SELECT CAST(date_trunc('{0}', event_ts) AS TIMESTAMP) AS period, count(DISTINCT userId) AS active_users, "
+    "count(*) AS total_plays FROM clean GROUP BY 1"
+)
 # What the stream job sees: event time from ts, complete plays only.
 STREAMED = f"""{PLAIN},
 landed AS (
@@ -442,11 +446,29 @@ def statements() -> dict[str, str]:
             CAST(sum(active_users) AS BIGINT) AS active_users,
             CAST(sum(total_plays) AS BIGINT) AS total_plays
             FROM ({active_batch} UNION ALL {active_speed}) h GROUP BY hour_bucket"""),
+        "merged_active_users_exact": _clean(ACTIVE.format("clean", "event_ts")),
+        "merged_listeners_exact": _clean(
+            "SELECT song, artist, count(DISTINCT userId) AS unique_listeners, count(*) AS merged_plays "
+            "FROM clean GROUP BY song, artist"
+        ),
+        "active_users_per_day": _clean(PERIODS.format("day")),
+        "active_users_per_month": _clean(PERIODS.format("month")),
+        "stickiness": _clean(f"""SELECT month, users, active_days,
+            {rnd("user_days / active_days", 2)} AS mean_daily_users,
+            {rnd("user_days / active_days * 100 / users", 2)} AS stickiness_pct
+            FROM (SELECT CAST(date_trunc('month', event_ts) AS TIMESTAMP) AS month, count(DISTINCT userId) AS users
+                  FROM clean GROUP BY 1) m
+            JOIN (SELECT CAST(date_trunc('month', period) AS TIMESTAMP) AS month, sum(active_users) AS user_days,
+                  count(*) AS active_days FROM ({PERIODS.format("day")}) d GROUP BY 1) days USING (month)"""),
         "stream_append": _with(STREAMED, "SELECT * FROM streamed"),
         "stream_append_raw": _with(STREAMED, "SELECT * FROM landed"),
         "stream_window_top_songs": _with(STREAMED, f"""SELECT w.* FROM ({WINDOWS.replace("{0}", "streamed")}) w
             WHERE window_end <= (SELECT max(event_ts) FROM streamed) - INTERVAL 2 MINUTE"""),
         "window_top_songs": _clean(WINDOWS),
+        "stream_level_users": _with(
+            STREAMED,
+            "SELECT level, count(DISTINCT userId) AS active_users, count(*) AS plays FROM streamed GROUP BY level",
+        ),
         "stream_level_plays": _with(
             STREAMED, "SELECT level, count(*) AS plays FROM streamed GROUP BY level"
         ),
@@ -492,4 +514,10 @@ def statements() -> dict[str, str]:
     found["served_top10_songs"] = _with(LAYERS, _top(songs, 10, "song", "artist"))
     for name in ("speed_summary", "merged_top_songs", "merged_top_artists", "merged_active_ts"):
         found[f"served_{name}"] = found[name]
+    found["served_merged_active_users"] = _with(LAYERS, """SELECT hour_bucket,
+        count(DISTINCT userId) AS active_users, count(*) AS total_plays
+        FROM (SELECT date_trunc('hour', event_ts) AS hour_bucket, userId FROM batch UNION ALL
+              SELECT date_trunc('hour', ingestion_time), userId FROM speed) h GROUP BY hour_bucket""")
+    found["served_merged_listeners"] = _with(LAYERS, """SELECT song, artist,
+        count(DISTINCT userId) AS unique_listeners, count(*) AS merged_plays FROM clean GROUP BY song, artist""")
     return found

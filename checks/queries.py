@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from playlake import fixed
 from playlake.functions.labels import risk_band
 from playlake.functions.numbers import half_up
-from playlake.operators import churn, clean, counts, features, merge, questions, segments, views
+from playlake.operators import audience, churn, clean, counts, features, merge, questions, segments, views
 from playlake.plans import models
 from playlake.plans.batch import run_batch
 from playlake.plans.serving import load_catalog, run_serving
@@ -244,6 +244,35 @@ def _merged_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _late(yes: bool):
+    """A split by arrival: every third event counts as landed after the batch run."""
+    return (F.col("ts") % 3 == 0) if yes else (F.col("ts") % 3 != 0)
+
+
+def _sets(name: str, build: Callable[[DataFrame], DataFrame], late: bool) -> Query:
+    """A stored table of user sets of the earlier or the later landed plays."""
+
+    def read(spark: SparkSession, sf_dir: str) -> DataFrame:
+        key = f"{name}_{'late' if late else 'early'}"
+        path = _stored(spark, sf_dir, key, lambda: build(cleaned(spark, sf_dir).filter(_late(late))))
+        return files.read_view(spark, path)
+
+    return read
+
+
+def _merged_sets(name: str, build: Callable[[DataFrame], DataFrame], view: Callable[..., DataFrame]) -> Query:
+    """A view of the stored sets of both layers; events are not read again."""
+    early, late = _sets(name, build, late=False), _sets(name, build, late=True)
+    return lambda spark, sf_dir: view(early(spark, sf_dir), late(spark, sf_dir))
+
+
+_hour_sets = ("hour_users", audience.hour_users)
+
+
+def _song_sketches(facts: DataFrame) -> DataFrame:
+    return audience.listener_sketches(facts, "song", "artist")
+
+
 def _speed_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merge.speed_summary(batch(spark, sf_dir), speed(spark, sf_dir))
 
@@ -299,6 +328,13 @@ def _stream_level_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.read_view(spark, f"{base}/out")
 
 
+def _stream_level_users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    base = fresh_dir(spark, "level-sets")
+    events = stream.parsed_events(_event_messages(spark, sf_dir))
+    stream.start_level_sets(events, f"{base}/sets", f"{base}/checkpoint", every=None).awaitTermination()
+    return stream.level_users(spark, f"{base}/sets")
+
+
 def _tally(roll: Callable[[DataFrame], DataFrame]) -> Query:
     """A stored tally, its sums shown without the last bits of a double."""
 
@@ -414,6 +450,19 @@ QUERIES: dict[str, Query] = {
     "merged_top_songs": _merged_songs,
     "merged_top_artists": _merged_artists,
     "merged_active_ts": _merged_hours,
+    # distinct users over both layers, from stored sets
+    "merged_active_users_exact": _merged_sets(*_hour_sets, audience.merged_active_users),
+    "merged_listeners_exact": _merged_sets("song_users", audience.song_users, audience.merged_listeners),
+    "active_users_per_day": _merged_sets(
+        *_hour_sets, lambda *both: audience.active_users_per(audience.merged(*both), "day")
+    ),
+    "active_users_per_month": _merged_sets(
+        *_hour_sets, lambda *both: audience.active_users_per(audience.merged(*both), "month")
+    ),
+    "stickiness": _merged_sets(*_hour_sets, lambda *both: audience.stickiness(audience.merged(*both))),
+    "merged_listeners_estimate": _merged_sets(
+        "song_sketches", _song_sketches, lambda *both: audience.estimated(audience.merged(*both), "song", "artist")
+    ),
     # tables written by whole batch and serving runs
     "stored_overview": _layers("store/overview"),
     "stored_top_songs": _layers("store/top_songs"),
@@ -427,12 +476,15 @@ QUERIES: dict[str, Query] = {
     "served_merged_top_songs": _layers("export/merged_top_songs"),
     "served_merged_top_artists": _layers("export/merged_top_artists"),
     "served_merged_active_ts": _layers("export/merged_active_ts"),
+    "served_merged_active_users": _layers("export/merged_active_users"),
+    "served_merged_listeners": _layers("export/merged_listeners"),
     # stream
     "stream_append": _stream_append("speed"),
     "stream_append_raw": _stream_append("raw"),
     "stream_window_top_songs": _stream_window,
     "window_top_songs": _window_batch,
     "stream_level_summary": _stream_level_summary,
+    "stream_level_users": _stream_level_users,
     "stream_level_plays": _without(_stream_level_summary, "active_users", "unique_artists"),
     # keyed counts
     "count_by_artist_key": _on(plain, counts.count_by_artist_key),

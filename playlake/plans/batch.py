@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from playlake import fixed
 from playlake.operators import clean as cleaning
-from playlake.operators import features, merge, views
+from playlake.operators import audience, features, merge, views
 from playlake.plans.models import run_churn, run_segments
 from playlake.schema import EVENT_COLUMNS
 from playlake.session import prepare, size_for
@@ -67,6 +67,8 @@ def run_batch(
     put("gender_stats", views.gender_stats(tracks))
     put("plays_by_hour", views.plays_by_hour(hours))
     put("active_users_ts", views.active_users_ts(hours))
+    put("hour_users", audience.hour_users(hours))
+    put("song_users", audience.song_users(tracks))
     put("first_play", views.first_play(hours))
     put("retention", views.retention(hours))
     put("session_dist", views.session_dist(sessions))

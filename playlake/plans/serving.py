@@ -8,7 +8,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from playlake import fixed
-from playlake.operators import merge
+from playlake.operators import audience, merge
 from playlake.schema import EVENT_DDL
 from playlake.sources.catalog import Catalog
 from playlake.sources.files import (
@@ -76,6 +76,10 @@ def run_serving(
     put("merged_top_artists", merge.merged_top_artists(published("top_artists"), artists))
     hours = merge.speed_active_ts(fresh)
     put("merged_active_ts", merge.merged_active_ts(published("active_users_ts"), hours))
+    # Exact over both layers, from the sets that the batch run stored; its events are not read again.
+    arrived = audience.hour_users(fresh, "ingestion_time")
+    put("merged_active_users", audience.merged_active_users(published("hour_users"), arrived))
+    put("merged_listeners", audience.merged_listeners(published("song_users"), audience.song_users(fresh)))
     return written
 
 

@@ -15,9 +15,10 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from playlake import fixed
 from playlake.functions.measures import approx_distinct, mean_seconds, plays, summarise
+from playlake.operators.audience import counted, user_sets
 from playlake.operators.clean import drop_incomplete, filter_page, stamp
 from playlake.schema import EVENT_COLUMNS
-from playlake.sources.files import LANDED_DDL, read_events
+from playlake.sources.files import LANDED_DDL, read_events, read_view
 from playlake.sources.messages import parse_messages
 
 BATCH_FOLDERS = LANDED_DDL
@@ -144,6 +145,26 @@ def start_level_summary(
     return _start(writer.foreachBatch(replace), checkpoint, every)
 
 
+def start_level_sets(
+    events: DataFrame, path: str, checkpoint: str, every: str | None = fixed.SUMMARY_TRIGGER
+) -> StreamingQuery:
+    """Land the users of each micro-batch as sets per level.
+
+    The query keeps no state. A repeated micro-batch overwrites its own folder.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        run = batch.sparkSession.sparkContext.getLocalProperty(QUERY_ID)
+        user_sets(batch, "level").write.mode("overwrite").parquet(f"{path}/run={run}/batch_id={batch_id}")
+
+    return _start(song_plays(events).writeStream.foreachBatch(write), checkpoint, every)
+
+
+def level_users(spark: SparkSession, path: str) -> DataFrame:
+    """The running summary of :func:`start_level_sets`: plays and exact users per level so far."""
+    return counted(read_view(spark, path), "level", total="plays")
+
+
 def run_until_stopped(spark: SparkSession, queries: list[StreamingQuery]) -> None:
     """Wait for any query to end, then stop all of them."""
     try:
