@@ -247,6 +247,39 @@ PERIODS = (
     "SELECT CAST(date_trunc('{0}', event_ts) AS TIMESTAMP) AS period, count(DISTINCT userId) AS active_users, "
     "count(*) AS total_plays FROM clean GROUP BY 1"
 )
+# Area under ROC by average ranks, per number of the training table.
+FEATURE_AUC = f"""SELECT feature, positives, negatives, {rnd(
+    "(pos_ranks - positives * (positives + 1) / 2) / (positives::DOUBLE * negatives)", 9)} AS auc
+  FROM (SELECT feature, count(*) FILTER (label = 1) AS positives, count(*) FILTER (label <> 1) AS negatives,
+               sum(mean_rank) FILTER (label = 1) AS pos_ranks
+        FROM (SELECT feature, label, rank() OVER (PARTITION BY feature ORDER BY value)
+                     + (count(*) OVER (PARTITION BY feature, value) - 1) / 2 AS mean_rank
+              FROM (UNPIVOT (SELECT label, total_plays::DOUBLE AS total_plays, unique_artists::DOUBLE AS unique_artists,
+                                    unique_songs::DOUBLE AS unique_songs, total_sessions::DOUBLE AS total_sessions,
+                                    coalesce(avg_duration, 0)::DOUBLE AS avg_duration, active_days::DOUBLE AS active_days,
+                                    days_span::DOUBLE AS days_span, plays_per_day::DOUBLE AS plays_per_day FROM dataset)
+                    ON total_plays, unique_artists, unique_songs, total_sessions, avg_duration, active_days,
+                       days_span, plays_per_day INTO NAME feature VALUE value) v) r
+        GROUP BY feature) counted"""
+RULE_SCORES = """SELECT userId, churn_probability,
+  CASE WHEN churn_probability >= 0.7 THEN 'High' WHEN churn_probability >= 0.4 THEN 'Medium' ELSE 'Low' END AS risk_level
+  FROM (SELECT userId, (CASE WHEN plays_per_day <= 0.03 THEN 0.75::DOUBLE WHEN active_days <= 8 THEN 0.4 ELSE 0.125 END
+    + CASE WHEN level <> 'free' THEN 0.2::DOUBLE WHEN active_days <= 5 THEN 0.9 ELSE 0.35 END) / 2 AS churn_probability
+    FROM features WHERE userId IS NOT NULL) scored"""
+NEAREST_PLAN = f"""SELECT userId, total_plays, active_days, avg_duration, level,
+  CASE WHEN free <= paid THEN 0 ELSE 1 END::INTEGER AS segment FROM (
+    SELECT users.*,
+      ((users.total_plays - f.plays) / s.plays) ** 2 + ((users.active_days - f.days) / s.days) ** 2
+        + ((avg_duration - f.seconds) / s.seconds) ** 2 AS free,
+      ((users.total_plays - p.plays) / s.plays) ** 2 + ((users.active_days - p.days) / s.days) ** 2
+        + ((avg_duration - p.seconds) / s.seconds) ** 2 AS paid
+    FROM ({USER_FEATURES}) users,
+      (SELECT stddev_samp(total_plays) AS plays, stddev_samp(active_days) AS days, stddev_samp(avg_duration) AS seconds
+       FROM ({USER_FEATURES}) u) s,
+      (SELECT avg(total_plays) AS plays, avg(active_days) AS days, avg(avg_duration) AS seconds
+       FROM ({USER_FEATURES}) u WHERE level = 'free') f,
+      (SELECT avg(total_plays) AS plays, avg(active_days) AS days, avg(avg_duration) AS seconds
+       FROM ({USER_FEATURES}) u WHERE level = 'paid') p) distances"""
 # What the stream job sees: event time from ts, complete plays only.
 STREAMED = f"""{PLAIN},
 landed AS (
@@ -460,6 +493,9 @@ def statements() -> dict[str, str]:
                   FROM clean GROUP BY 1) m
             JOIN (SELECT CAST(date_trunc('month', period) AS TIMESTAMP) AS month, sum(active_users) AS user_days,
                   count(*) AS active_days FROM ({PERIODS.format("day")}) d GROUP BY 1) days USING (month)"""),
+        "churn_feature_auc": _with(ORDER_CLEAN + DATASET, FEATURE_AUC),
+        "rule_forest_scores": _with(ORDER_CLEAN + FEATURES, RULE_SCORES),
+        "nearest_plan": _order(NEAREST_PLAN),
         "stream_append": _with(STREAMED, "SELECT * FROM streamed"),
         "stream_append_raw": _with(STREAMED, "SELECT * FROM landed"),
         "stream_window_top_songs": _with(STREAMED, f"""SELECT w.* FROM ({WINDOWS.replace("{0}", "streamed")}) w

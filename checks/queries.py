@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from playlake import fixed
 from playlake.functions.labels import risk_band
 from playlake.functions.numbers import half_up
-from playlake.operators import audience, churn, clean, counts, features, merge, questions, segments, views
+from playlake.operators import audience, churn, clean, counts, features, merge, model_tables, questions, segments, views
 from playlake.plans import models
 from playlake.plans.batch import run_batch
 from playlake.plans.serving import load_catalog, run_serving
@@ -198,6 +198,57 @@ _churn = _stored_run("churn_run", models.run_churn, cleaned)
 _order_churn = _stored_run("order_churn_run", models.run_churn, order_clean)
 
 
+def _of_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every user's probability from the stored rows of the forest."""
+    parts = [_order_churn(name)(spark, sf_dir) for name in ("churn_dataset", "churn_inputs", "churn_levels", "churn_nodes")]
+    return model_tables.banded(model_tables.forest_scores(*parts))
+
+
+def _importances(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return model_tables.importances(*(_order_churn(name)(spark, sf_dir) for name in ("churn_nodes", "churn_inputs")))
+
+
+def _of_centres(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every user's segment from the stored rows of the centres."""
+    parts = [_segments(name)(spark, sf_dir) for name in ("user_features", "segment_inputs", "segment_levels", "segment_centres")]
+    return model_tables.assigned(*parts).select("userId", "segment", *features.HABIT_COLUMNS, "level")
+
+
+#: A forest of two small trees, as an analyst may write one: (tree, node, feature, threshold, low, high, share).
+RULES = [
+    (0, 0, 0, 0.03, 1, 2, None), (0, 1, None, None, None, None, 0.75), (0, 2, 1, 8.0, 3, 4, None),
+    (0, 3, None, None, None, None, 0.4), (0, 4, None, None, None, None, 0.125),
+    (1, 0, 2, 0.5, 1, 2, None), (1, 1, 1, 5.0, 3, 4, None), (1, 2, None, None, None, None, 0.2),
+    (1, 3, None, None, None, None, 0.9), (1, 4, None, None, None, None, 0.35),
+]
+
+
+def _rule_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Churn features of the orders scored by RULES, through the tables of any forest."""
+    names = ["plays_per_day", "active_days", model_tables.LEVEL_INPUT]
+    inputs = spark.createDataFrame([(n, name, 0.0, 1.0) for n, name in enumerate(names)], model_tables.INPUTS_DDL)
+    levels = spark.createDataFrame([("free", 0), ("paid", 1)], model_tables.LEVELS_DDL)
+    nodes = spark.createDataFrame([(*rule, 1.0, None) for rule in RULES], model_tables.NODES_DDL)
+    users = order_habits(spark, sf_dir).filter("userId is not null").na.fill(0)
+    return model_tables.banded(model_tables.forest_scores(users, inputs, levels, nodes, depth=2))
+
+
+def _nearest_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Users by the plan whose mean listener they are nearest to."""
+    users = features.user_features(order_clean(spark, sf_dir)).filter("userId is not null").na.fill(0)
+    users = files.read_view(spark, _stored(spark, sf_dir, "plan_users", lambda: users))
+    names = ["total_plays", "active_days", "avg_duration"]
+    inputs, centres = model_tables.group_centres(users, names, "level")
+    levels = spark.createDataFrame([], model_tables.LEVELS_DDL)
+    return model_tables.assigned(users, inputs, levels, centres).select("userId", *names, "level", "segment")
+
+
+def _feature_auc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    dataset = _churn_dataset(order_habits, order_clean)(spark, sf_dir)
+    found = churn.feature_auc(dataset, lambda df: files.read_view(spark, _stored(spark, sf_dir, "feature_ranks", lambda: df)))
+    return found.withColumn("auc", half_up(F.col("auc"), 9))
+
+
 def _run_layers(spark: SparkSession, raw_events: DataFrame, base: str) -> None:
     """A whole batch run over the older raw events, then a serving run with the newer plays."""
     older = raw_events.filter(testdata.speed_start(batch=True))
@@ -421,6 +472,13 @@ QUERIES: dict[str, Query] = {
     "churn_summary_orders": _order_churn("churn_summary"),
     "churn_risk_counts": _on(_churn("churn_predictions"), churn.churn_risk_counts),
     "churn_kpi": _on(_churn("churn_summary"), questions.churn_kpi),
+    # models as tables
+    "churn_scores_of_nodes": _of_nodes,
+    "churn_importances": _importances,
+    "churn_feature_auc": _feature_auc,
+    "rule_forest_scores": _rule_scores,
+    "segment_assignment": _of_centres,
+    "nearest_plan": _nearest_plan,
     # catalog and SQL views
     "catalog_play_events": _sql(lambda db: db.table(catalog.BATCH_TABLE)),
     "catalog_streaming_events": _sql(lambda db: db.table(catalog.SPEED_TABLE)),

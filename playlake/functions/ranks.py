@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
+from operator import and_
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 PLACE = 33  # bits of a row's place within its task
 
@@ -56,3 +58,36 @@ def ranked(
     rows = by_task(held, starts(counts), "_before")
     rank = (F.col("_before") + F.col("place") + 1).alias(name)
     return rows.select(*[F.col(f"`{c}`") for c in frame.columns], rank)
+
+
+def roc_auc(
+    frame: DataFrame, score: str, label: str, keys: list[str], store: Callable[[DataFrame], DataFrame]
+) -> DataFrame:
+    """(keys, positives, negatives, auc): area under ROC per key, as average ranks give it.
+
+    A positive counts each negative of a lower score once and each of its own score half.
+    Rows shrink to counts per score first, so a score that many rows share is one row; the
+    scores are dealt to tasks by ranges, and a task adds the negatives of the tasks before to
+    its own running sum. All counts are exact. ``auc`` is null without both labels; rows without
+    score or label don't count.
+    """
+    known = frame.filter(F.col(score).isNotNull() & F.col(label).isNotNull())
+    one, none = F.count_if(F.col(label) == 1), F.count_if(F.col(label) != 1)
+    counts = known.groupBy(*keys, F.col(score).alias("_score")).agg(one.alias("_pos"), none.alias("_neg"))
+    held, _ = placed(counts, [*map(F.col, keys), F.col("_score")], store)
+    names = [*keys, "task"]
+    totals = held.groupBy(*names).agg(F.sum("_neg").alias("_all"))
+    earlier = Window.partitionBy(*keys).orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
+    before = totals.select(
+        *[F.col(c).alias(f"_{c}") for c in names], F.coalesce(F.sum("_all").over(earlier), F.lit(0)).alias("_before")
+    )
+    rows = held.join(before, reduce(and_, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in names]))
+    lower = Window.partitionBy(*names).orderBy("_score").rowsBetween(Window.unboundedPreceding, -1)
+    below = F.col("_before") + F.coalesce(F.sum("_neg").over(lower), F.lit(0))
+    twice = F.col("_pos").cast("decimal(18,0)") * (2 * below + F.col("_neg")).cast("decimal(19,0)")
+    ranked_ = rows.withColumn("_twice", twice)
+    found = ranked_.groupBy(*keys).agg(
+        F.sum("_pos").alias("positives"), F.sum("_neg").alias("negatives"), F.sum("_twice").alias("_twice")
+    )
+    both = F.col("positives").cast("double") * F.col("negatives") * 2
+    return found.select(*keys, "positives", "negatives", F.try_divide(F.col("_twice").cast("double"), both).alias("auc"))

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
 from playlake import fixed
+from playlake.functions import ranks
 from playlake.functions.labels import risk_band
 from playlake.functions.numbers import half_up
 from playlake.operators.features import HABIT_COLUMNS
@@ -78,12 +80,30 @@ def score(model: PipelineModel | None, dataset: DataFrame) -> DataFrame:
     return banded.select(*PREDICTION_COLUMNS)
 
 
-def holdout_auc(model: PipelineModel | None, holdout: DataFrame) -> float | None:
-    """Area under ROC on held-out users; None unless both labels occur there."""
-    if model is None or holdout.select("label").distinct().count() < 2:
-        return None
-    evaluator = BinaryClassificationEvaluator(labelCol="label", metricName="areaUnderROC")
-    return evaluator.evaluate(model.transform(holdout))
+def feature_auc(dataset: DataFrame, store: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """(feature, positives, negatives, auc): how well each number alone tells who churns."""
+    each = [F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("value")) for c in CHURN_COLUMNS]
+    values = dataset.select("label", F.inline(F.array(*each)))
+    return ranks.roc_auc(values, "value", "label", ["feature"], store)
+
+
+def _kept_at(path: str):
+    def store(frame: DataFrame) -> DataFrame:
+        frame.write.mode("overwrite").parquet(path)
+        return frame.sparkSession.read.schema(frame.schema).parquet(path)
+
+    return store
+
+
+def holdout_auc(predictions: DataFrame, work: str) -> float | None:
+    """Area under ROC of the held-out users' scores; None unless both labels occur there.
+
+    Exact at any size: ties share their rank, and no curve is thinned out. ``work`` is
+    a folder for the counts per score.
+    """
+    held = predictions.filter(~in_training(F.col("userId")))
+    row = ranks.roc_auc(held, "churn_probability", "label", [], _kept_at(work)).first()
+    return row["auc"] if row else None
 
 
 def churn_risk_counts(predictions: DataFrame) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from playlake.operators import churn, features, segments
+from playlake.operators import churn, features, model_tables, segments
 from playlake.sources.files import read_view, write_parquet
 
 USERS_PER_TASK = 200_000
@@ -28,21 +28,27 @@ def _laid_out(df: DataFrame) -> DataFrame:
 
 
 def run_segments(spark: SparkSession, users: DataFrame, store: str) -> tuple[DataFrame, DataFrame]:
-    """Write user_features, user_segments and segment_profiles."""
+    """Write user_features, user_segments, segment_profiles and the tables of the fitted model."""
     held = _stored(spark, users, f"{store}/user_features")
     model = segments.fit_segments(_laid_out(held))
+    write_parquet(model_tables.input_table(spark, model), f"{store}/segment_inputs")
+    write_parquet(model_tables.level_table(spark, model), f"{store}/segment_levels")
+    write_parquet(model_tables.centre_table(spark, model), f"{store}/segment_centres")
     named = _stored(spark, segments.user_segments(model, held), f"{store}/user_segments")
     profiles = segments.segment_profiles(named)
     return named, _stored(spark, profiles, f"{store}/segment_profiles")
 
 
 def run_churn(spark: SparkSession, clean: DataFrame, store: str) -> tuple[DataFrame, DataFrame]:
-    """Write churn_features, churn_dataset, churn_predictions and churn_summary."""
+    """Write churn_features, churn_dataset, churn_predictions, churn_summary and the tables of the fitted model."""
     habits = _stored(spark, features.churn_features(clean), f"{store}/churn_features")
     labelled = features.churn_dataset(habits, features.churn_labels_time(clean))
     dataset = _stored(spark, labelled, f"{store}/churn_dataset")
-    train, holdout = churn.holdout_split(_laid_out(dataset))
+    train, _ = churn.holdout_split(_laid_out(dataset))
     model = churn.fit_churn(train, f"{store}/churn_model")
+    write_parquet(model_tables.input_table(spark, model), f"{store}/churn_inputs")
+    write_parquet(model_tables.level_table(spark, model), f"{store}/churn_levels")
+    write_parquet(model_tables.node_table(spark, model, f"{store}/churn_model"), f"{store}/churn_nodes")
     predictions = _stored(spark, churn.score(model, dataset), f"{store}/churn_predictions")
-    summary = churn.churn_summary(predictions, churn.holdout_auc(model, holdout))
+    summary = churn.churn_summary(predictions, churn.holdout_auc(predictions, f"{store}/churn_ranks"))
     return predictions, _stored(spark, summary, f"{store}/churn_summary")
