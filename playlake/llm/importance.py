@@ -59,8 +59,9 @@ class Buckets:
         known = self.known
         if len(known) >= KEPT_WORDS:
             known.clear()
-        for word in found.keys() - known.keys():
-            known[word] = zlib.crc32(word) % BUCKETS
+        for word in found:
+            if word not in known:
+                known[word] = zlib.crc32(word) % BUCKETS
         buckets = np.fromiter(map(known.__getitem__, found), np.int64, len(found))
         return buckets, np.fromiter(found.values(), np.int64, len(found)), len(words)
 
