@@ -1,16 +1,16 @@
-"""Suffix-array dedup: bytes of strings of ``LENGTH`` bytes that start in two places.
+"""Suffix-array dedup: bytes of strings of ``length`` bytes that start in two places.
 
 Exact over the whole table, whatever the number of copies:
 
-1. *Anchors.* In every string of LENGTH bytes the K-byte grams of least hash are
+1. *Anchors.* In every string of ``length`` bytes the k-byte grams of least hash are
    anchors. Equal strings have equal anchors at equal offsets, so a repeated
    string shows at a repeated anchor. The strings around an anchor fall into two
    classes by its offset in them; all strings of a class share a *core*, the bytes
-   common to them, and together they make a *segment* of at most 576 bytes.
+   common to them, and together they make a *segment* of less than one and a half times that length.
 2. *Copies.* Segments with a core that occurs once are dropped. Segments that
    occur twice or more are repeated as a whole.
 3. *Narrower classes.* The distinct segments of the other cores come together by core
-   and are cut into ``FINE`` classes by finer offsets, whose longer cores settle most
+   and are cut into ``fine`` classes by finer offsets, whose longer cores settle most
    strings as in 2.
 4. *Interval expansion.* Narrow segments that still differ are joined, whole cores at
    a time, to one text, in which the core, the same in all of a group, is one symbol.
@@ -25,7 +25,7 @@ Exact over the whole table, whatever the number of copies:
    128-bit hashes.
 
 Strings never cross texts. Defined cases: a null text is empty; texts shorter than
-LENGTH have nothing to remove; strings of a text that overlap count as repeats if
+``length`` have nothing to remove; strings of a text that overlap count as repeats if
 they start in two places; repeated rows are copies of each other; an empty table
 gives an empty result; other columns are not read by :func:`judged` and pass
 unchanged through :func:`without_repeats`.
@@ -34,6 +34,8 @@ unchanged through :func:`without_repeats`.
 from __future__ import annotations
 
 import hashlib
+from dataclasses import dataclass
+from functools import partial
 from itertools import groupby
 
 import numpy as np
@@ -43,32 +45,72 @@ from pyspark.sql import DataFrame, functions as F
 
 from playlake.llm.rows import map_batches, numbered, packed, small_batches, stored, texts, unpacked, with_columns
 
-LENGTH = 400
-K = 49
-OFFSETS = LENGTH - K + 1  # offsets an anchor can have in a string
-HALF = OFFSETS // 2  # offsets of a class, which are also the strings of a segment
-CORE = LENGTH - HALF + 1  # bytes that all strings of a segment hold
-FINE = 11  # narrower classes of a segment
-WIDE = HALF // FINE  # strings of a narrower class
-LONG_CORE = LENGTH - WIDE + 1  # bytes that all strings of a narrower class hold
 NEAR = 2_000  # distinct segments of a core that are brought together
 HOT = 10_000  # distinct narrow segments of a core beyond which it is hot
 TEXT_BYTES = 512 << 10
 TASK_BYTES = 32 << 20
 RANGE_ROWS = 10_000
 
+
+
+@dataclass(frozen=True)
+class Strings:
+    """The strings looked for: ``length`` bytes, anchored by grams of ``k`` bytes (33 to 64).
+
+    ``fine`` cuts a segment's strings into that many narrower classes; it divides half
+    of the offsets that an anchor can have.
+    """
+
+    length: int
+    k: int
+    fine: int
+
+    def __post_init__(self):
+        if not 32 < self.k <= 64 or self.half % self.fine or self.offsets % 2 or self.length + self.half >= 1024:
+            raise ValueError(f"no classes of strings for {self}")
+
+    @property
+    def offsets(self) -> int:
+        """Offsets an anchor can have in a string."""
+        return self.length - self.k + 1
+
+    @property
+    def half(self) -> int:
+        """Offsets of a class, which are also the strings of a segment."""
+        return self.offsets // 2
+
+    @property
+    def core(self) -> int:
+        """Bytes that all strings of a segment hold."""
+        return self.length - self.half + 1
+
+    @property
+    def wide(self) -> int:
+        """Strings of a narrower class."""
+        return self.half // self.fine
+
+    @property
+    def long_core(self) -> int:
+        """Bytes that all strings of a narrower class hold."""
+        return self.length - self.wide + 1
+
+
+WHOLE = Strings(length=400, k=49, fine=11)
+#: Passages of some 50 words: what the pipeline cuts out.
+PASSAGES = Strings(length=240, k=33, fine=8)
+
 _BYTE_VALUES = np.random.default_rng(400).integers(0, 2**63, 256, dtype=np.uint64)
 
 
-def _gram_hashes(data: np.ndarray) -> np.ndarray:
-    """Hashes of all K-byte grams, by doubling up to 32 bytes; two of those cover K."""
+def _gram_hashes(data: np.ndarray, k: int) -> np.ndarray:
+    """Hashes of all k-byte grams, by doubling up to 32 bytes; two of those cover k."""
     x = _BYTE_VALUES[data]
     size = 1
     while size < 32:
         x = x[:-size] * np.uint64(0x9E3779B97F4A7C15) + x[size:]
         x ^= x >> np.uint64(29)
         size *= 2
-    x = x[: len(data) - K + 1] * np.uint64(0xBF58476D1CE4E5B9) + x[K - 32 :]
+    x = x[: len(data) - k + 1] * np.uint64(0xBF58476D1CE4E5B9) + x[k - 32 :]
     x ^= x >> np.uint64(32)
     return x * np.uint64(0x94D049BB133111EB)
 
@@ -82,39 +124,39 @@ def _sliding(x: np.ndarray, width: int, least) -> np.ndarray:
     return x if size == width else least(x[: len(x) - (width - size)], x[width - size :])
 
 
-def anchors(text: bytes) -> np.ndarray:
-    """Places of grams that are least in some string of LENGTH bytes; ties all count."""
-    if len(text) < LENGTH:
+def anchors(text: bytes, w: Strings = WHOLE) -> np.ndarray:
+    """Places of grams that are least in some string of w.length bytes; ties all count."""
+    if len(text) < w.length:
         return np.zeros(0, np.int64)
-    grams = _gram_hashes(np.frombuffer(text, np.uint8))
-    least = _sliding(grams, OFFSETS, np.minimum)
-    around = np.zeros(len(least) + 2 * (OFFSETS - 1), np.uint64)
-    around[OFFSETS - 1 : OFFSETS - 1 + len(least)] = least
-    return np.flatnonzero(_sliding(around, OFFSETS, np.maximum) == grams)
+    grams = _gram_hashes(np.frombuffer(text, np.uint8), w.k)
+    least = _sliding(grams, w.offsets, np.minimum)
+    around = np.zeros(len(least) + 2 * (w.offsets - 1), np.uint64)
+    around[w.offsets - 1 : w.offsets - 1 + len(least)] = least
+    return np.flatnonzero(_sliding(around, w.offsets, np.maximum) == grams)
 
 
-def segments(text: bytes) -> set[tuple[int, int, int]]:
+def segments(text: bytes, w: Strings = WHOLE) -> set[tuple[int, int, int]]:
     """(core hash, segment hash, place) of a text, each once.
 
     A place holds the start, the length and the core's place in the segment; the
     latter two are below 1,024.
     """
-    found, last, digest = set(), len(text) - LENGTH, xxhash.xxh3_64_intdigest
-    for place in anchors(text).tolist():
-        for core in (place, place - HALF):
-            low, high = max(0, core - HALF + 1), min(core, last)
+    found, last, digest = set(), len(text) - w.length, xxhash.xxh3_64_intdigest
+    for place in anchors(text, w).tolist():
+        for core in (place, place - w.half):
+            low, high = max(0, core - w.half + 1), min(core, last)
             if low <= high:
                 skip = core - low
-                key = digest(text[core : core + CORE], core != place)
-                found.add((key, digest(text[low : high + LENGTH], skip), low << 20 | high - low + LENGTH << 10 | skip))
+                key = digest(text[core : core + w.core], core != place)
+                found.add((key, digest(text[low : high + w.length], skip), low << 20 | high - low + w.length << 10 | skip))
     return found
 
 
-def _segment_batches(batches):
+def _segment_batches(w: Strings, batches):
     for batch in batches:
         rids, found = [], []
         for rid, text in zip(batch.column("rid").to_pylist(), texts(batch), strict=True):
-            some = segments(text)
+            some = segments(text, w)
             rids += [rid] * len(some)
             found += some
         cores, hashes, places = zip(*found, strict=True) if found else [()] * 3
@@ -197,7 +239,7 @@ def _paired(label: np.ndarray) -> np.ndarray:
 Range = tuple[int, int]
 
 
-def _ranges(starts: np.ndarray, length: int = LENGTH) -> list[Range]:
+def _ranges(starts: np.ndarray, length: int) -> list[Range]:
     """Bytes under strings that start at the sorted places, as ranges that lie apart."""
     if not len(starts):
         return []
@@ -205,35 +247,35 @@ def _ranges(starts: np.ndarray, length: int = LENGTH) -> list[Range]:
     return [(int(part[0]), int(part[-1]) + length) for part in np.split(starts, breaks)]
 
 
-def _compared(rows: list[tuple]) -> pa.RecordBatch:
+def _compared(w: Strings, rows: list[tuple]) -> pa.RecordBatch:
     """Ranges of strings that start in two places of the rows' narrow segments.
 
-    With its core as one symbol, a string has ``WIDE`` symbols, and equal strings
+    With its core as one symbol, a string has ``w.wide`` symbols, and equal strings
     hold the core at equal places. A place of a text stands once for each place of
     the core, so it is never equal to itself.
     """
     cores: dict[tuple[int, bytes], int] = {}  # the two classes of an anchor stay apart
     parts, begins, begin = [], [], 0
     for core, _, _, data, _, skip in rows:
-        symbol = cores.setdefault((core, data[skip : skip + LONG_CORE]), 257 + len(cores))
-        part = np.zeros(len(data) - LONG_CORE + 2, np.int32)
+        symbol = cores.setdefault((core, data[skip : skip + w.long_core]), 257 + len(cores))
+        part = np.zeros(len(data) - w.long_core + 2, np.int32)
         bare = np.frombuffer(data, np.uint8)
         part[:skip] = bare[:skip]
-        part[skip + 1 : -1] = bare[skip + LONG_CORE :]
+        part[skip + 1 : -1] = bare[skip + w.long_core :]
         part[:-1] += 1
         part[skip] = symbol
         parts.append(part)
         begins.append(begin)
         begin += len(part)
-    found = repeated_starts(np.concatenate(parts), WIDE)
+    found = repeated_starts(np.concatenate(parts), w.wide)
     begins = np.array([*begins, begin])
     cuts = np.searchsorted(found, begins)
     rids, starts, ends = [], [], []
     for number, (_, rid, start, _, single, skip) in enumerate(rows):
         if single:
             inside = found[cuts[number] : cuts[number + 1]] - begins[number]
-            # WIDE symbols that start behind the core are no string of this segment.
-            for a, b in _ranges(inside[inside <= skip]):
+            # w.wide symbols that start behind the core are no string of this segment.
+            for a, b in _ranges(inside[inside <= skip], w.length):
                 rids.append(rid)
                 starts.append(start + a)
                 ends.append(start + b)
@@ -242,7 +284,7 @@ def _compared(rows: list[tuple]) -> pa.RecordBatch:
     )
 
 
-def _expanded(batches):
+def _expanded(w: Strings, batches):
     """Repeated ranges within whole cores, some at a time; rows come ordered by core."""
     rows: list[tuple] = []
     core, size = None, 0
@@ -250,24 +292,24 @@ def _expanded(batches):
         columns = (batch.column(c).to_pylist() for c in ("core", "rid", "start", "data", "single", "skip"))
         for key, rid, start, data, single, skip in zip(*columns, strict=True):
             if key != core and size >= TEXT_BYTES:
-                yield _compared(rows)
+                yield _compared(w, rows)
                 rows, size = [], 0
-            core, size = key, size + len(data) - LONG_CORE + 2
+            core, size = key, size + len(data) - w.long_core + 2
             rows.append((key, rid, start, data, single, skip))
     if rows:
-        yield _compared(rows)
+        yield _compared(w, rows)
 
 
-def _sorted_out(rows: list[tuple], found: list[tuple]) -> list[tuple]:
+def _sorted_out(w: Strings, rows: list[tuple], found: list[tuple]) -> list[tuple]:
     """The narrow segments of a core that differ; ranges of those copied as a whole go to ``found``."""
     classes: dict[tuple[int, bytes], dict[tuple[int, bytes], list[tuple]]] = {}
     for _, rid, start, data, single, skip in rows:
-        for part in range(FINE):
-            at = _narrow(len(data), skip, part)
+        for part in range(w.fine):
+            at = _narrow(w, len(data), skip, part)
             if at:
                 first, last, held = at
-                members = classes.setdefault((part, data[held : held + LONG_CORE]), {})
-                members.setdefault((held - first, data[first : last + LENGTH]), []).append((rid, start + first, single))
+                members = classes.setdefault((part, data[held : held + w.long_core]), {})
+                members.setdefault((held - first, data[first : last + w.length]), []).append((rid, start + first, single))
     mixed = []
     for (part, _), members in classes.items():
         some = []
@@ -285,23 +327,23 @@ def _sorted_out(rows: list[tuple], found: list[tuple]) -> list[tuple]:
 _RANGES = {"rid": pa.int64(), "a": pa.int32(), "b": pa.int32()}
 
 
-def _settled(batches):
+def _settled(w: Strings, batches):
     """Repeated ranges within whole cores, some at a time; rows come ordered by core."""
     names = ("core", "rid", "start", "data", "single", "skip")
     every = (row for batch in batches for row in zip(*(batch.column(c).to_pylist() for c in names), strict=True))
     rows, found, size = [], [], 0
     for _, members in groupby(every, lambda row: row[0]):
-        mixed = _sorted_out(list(members), found)
+        mixed = _sorted_out(w, list(members), found)
         rows += mixed
-        size += sum(len(each[3]) - LONG_CORE + 2 for each in mixed)
+        size += sum(len(each[3]) - w.long_core + 2 for each in mixed)
         if size >= TEXT_BYTES:
-            yield _compared(rows)
+            yield _compared(w, rows)
             rows, size = [], 0
         if len(found) >= RANGE_ROWS:
             yield _columns(found, _RANGES)
             found = []
     if rows:
-        yield _compared(rows)
+        yield _compared(w, rows)
     yield _columns(found, _RANGES)
 
 
@@ -328,77 +370,77 @@ def _columns(rows: list[tuple], kinds: dict[str, pa.DataType]) -> pa.RecordBatch
     return pa.RecordBatch.from_arrays(arrays, list(kinds))
 
 
-def _narrow(size: int, skip: int, part: int) -> tuple[int, int, int] | None:
+def _narrow(w: Strings, size: int, skip: int, part: int) -> tuple[int, int, int] | None:
     """(first, last, core's place) of the strings of a narrower class, within the segment.
 
     Strings count by how far before the core they start: class ``part`` holds those
-    of ``part * WIDE`` to ``part * WIDE + WIDE - 1`` bytes.
+    of ``part * w.wide`` to ``part * w.wide + w.wide - 1`` bytes.
     """
-    near, far = part * WIDE, part * WIDE + WIDE - 1
-    first, last = max(0, skip - far), min(skip - near, size - LENGTH)
+    near, far = part * w.wide, part * w.wide + w.wide - 1
+    first, last = max(0, skip - far), min(skip - near, size - w.length)
     return (first, last, skip - near) if first <= last else None
 
 
-def _narrower(batch: pa.RecordBatch) -> pa.RecordBatch:
+def _narrower(w: Strings, batch: pa.RecordBatch) -> pa.RecordBatch:
     """(piece, part, core, segment, rid, a, b, single) of the narrower classes of segments."""
     rows: list[tuple] = []
     names = ("piece", "core", "rid", "start", "data", "single", "skip")
     digest = xxhash.xxh3_64_intdigest
     signed = lambda x: x - 2**64 if x >= 2**63 else x
     for piece, core, rid, start, data, single, skip in zip(*(batch.column(c).to_pylist() for c in names), strict=True):
-        for part in range(FINE):
-            found = _narrow(len(data), skip, part)
+        for part in range(w.fine):
+            found = _narrow(w, len(data), skip, part)
             if found:
                 first, last, held = found
-                longer = data[held : held + LONG_CORE]  # common to the class
+                longer = data[held : held + w.long_core]  # common to the class
                 key = digest(longer, core % 2**64 + part & 2**64 - 1)
-                whole = digest(data[first : last + LENGTH], held - first)
-                rows.append((piece, part, signed(key), signed(whole), rid, start + first, start + last + LENGTH, single))
+                whole = digest(data[first : last + w.length], held - first)
+                rows.append((piece, part, signed(key), signed(whole), rid, start + first, start + last + w.length, single))
     kinds = {"piece": pa.int64(), "part": pa.int32(), "core": pa.int64(), "segment": pa.int64()}
     return _columns(rows, kinds | {"rid": pa.int64(), "a": pa.int32(), "b": pa.int32(), "single": pa.bool_()})
 
 
-def _taken(batch: pa.RecordBatch) -> pa.RecordBatch:
+def _taken(w: Strings, batch: pa.RecordBatch) -> pa.RecordBatch:
     """The bytes of the wanted narrow segments."""
     rows: list[tuple] = []
     names = ("rid", "start", "data", "skip", "wanted")
     for rid, start, data, skip, wanted in zip(*(batch.column(c).to_pylist() for c in names), strict=True):
         for each in wanted:
-            first, last, held = _narrow(len(data), skip, each["part"])
-            part = data[first : last + LENGTH]
+            first, last, held = _narrow(w, len(data), skip, each["part"])
+            part = data[first : last + w.length]
             rows.append((each["core"], rid, start + first, part, each["single"], held - first, each["hot"]))
     kinds = {"core": pa.int64(), "rid": pa.int64(), "start": pa.int32(), "data": pa.binary()}
     return _columns(rows, kinds | {"single": pa.bool_(), "skip": pa.int32(), "hot": pa.bool_()})
 
 
-def _string_hashes(batch: pa.RecordBatch) -> pa.RecordBatch:
+def _string_hashes(w: Strings, batch: pa.RecordBatch) -> pa.RecordBatch:
     """(core, string, rid, start, single) of every string of narrow segments."""
     rows: list[tuple] = []
     names = ("core", "rid", "start", "data", "single", "skip")
     for core, rid, start, data, single, skip in zip(*(batch.column(c).to_pylist() for c in names), strict=True):
-        for place in range(len(data) - LENGTH + 1):
+        for place in range(len(data) - w.length + 1):
             # How far before the core a string starts is part of its name, see _compared.
-            name = xxhash.xxh3_128_digest(data[place : place + LENGTH], abs(skip - place))
+            name = xxhash.xxh3_128_digest(data[place : place + w.length], abs(skip - place))
             rows.append((core, name, rid, start + place, single))
     kinds = {"core": pa.int64(), "string": pa.binary(), "rid": pa.int64(), "start": pa.int32(), "single": pa.bool_()}
     return _columns(rows, kinds)
 
 
-def _of_hot_cores(hot: DataFrame) -> DataFrame:
+def _of_hot_cores(w: Strings, hot: DataFrame) -> DataFrame:
     """Repeated ranges of narrow segments of hot cores."""
-    strings = map_batches(hot, _string_hashes, "core long, string binary, rid long, start int, single boolean")
+    strings = map_batches(hot, partial(_string_hashes, w), "core long, string binary, rid long, start int, single boolean")
     strings = stored(strings, "suffix-strings")
     weight = F.when(F.col("single"), 1).otherwise(2)
     again = strings.groupBy("core", "string").agg(F.sum(weight).alias("n")).filter("n > 1").drop("n")
     found = strings.filter("single").join(again, ["core", "string"])
-    return found.select("rid", F.col("start").alias("a"), (F.col("start") + LENGTH).alias("b"))
+    return found.select("rid", F.col("start").alias("a"), (F.col("start") + w.length).alias("b"))
 
 
-def _of_wide_cores(cut: DataFrame) -> DataFrame:
+def _of_wide_cores(w: Strings, cut: DataFrame) -> DataFrame:
     """Repeated ranges of single segments of cores with many others (a stored table)."""
     cut = cut.withColumn("piece", F.monotonically_increasing_id())
     classes = "piece long, part int, core long, segment long, rid long, a int, b int, single boolean"
-    narrow = stored(map_batches(cut, _narrower, classes), "suffix-narrow")
+    narrow = stored(map_batches(cut, partial(_narrower, w), classes), "suffix-narrow")
     weight = F.when(F.col("single"), 1).otherwise(2)
     distinct = stored(
         narrow.groupBy("core", "segment").agg(F.sum(weight).alias("n"), F.min(F.struct("piece", "part")).alias("at")),
@@ -415,7 +457,7 @@ def _of_wide_cores(cut: DataFrame) -> DataFrame:
     taken = stored(
         map_batches(
             cut.select("piece", "rid", "start", "data", "skip").join(wanted, "piece"),
-            _taken,
+            partial(_taken, w),
             "core long, rid long, start int, data binary, single boolean, skip int, hot boolean",
         ),
         "suffix-compared",
@@ -424,15 +466,15 @@ def _of_wide_cores(cut: DataFrame) -> DataFrame:
     tasks = int(cut.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     tasks = max(tasks, (sums.bytes or 0) // TASK_BYTES + 1)
     near = taken.filter("not hot").drop("hot").repartition(tasks, "core").sortWithinPartitions("core")
-    found = whole.union(near.mapInArrow(_expanded, "rid long, a int, b int"))
-    return found.union(_of_hot_cores(taken.filter("hot"))) if sums.hot else found
+    found = whole.union(near.mapInArrow(partial(_expanded, w), "rid long, a int, b int"))
+    return found.union(_of_hot_cores(w, taken.filter("hot"))) if sums.hot else found
 
 
-def repeats(rows: DataFrame) -> DataFrame:
+def repeats(rows: DataFrame, w: Strings = WHOLE) -> DataFrame:
     """(rid, a, b): ranges that cover the repeated strings of all texts (rid, text)."""
     small_batches(rows.sparkSession)
     every = stored(
-        rows.select("rid", "text").mapInArrow(_segment_batches, "core long, segment long, rid long, place long"),
+        rows.select("rid", "text").mapInArrow(partial(_segment_batches, w), "core long, segment long, rid long, place long"),
         "suffix-segments",
     )
     # Some cores come twice or more; the rest of the work sees only those. They are stored
@@ -478,8 +520,8 @@ def repeats(rows: DataFrame) -> DataFrame:
         )
 
     near = cut(compared.filter("not wide")).repartition(tasks, "core").sortWithinPartitions("core")
-    found = whole.union(near.mapInArrow(_settled, "rid long, a int, b int"))
-    return found.union(_of_wide_cores(stored(cut(compared.filter("wide")), "suffix-cut"))) if sums.wide else found
+    found = whole.union(near.mapInArrow(partial(_settled, w), "rid long, a int, b int"))
+    return found.union(_of_wide_cores(w, stored(cut(compared.filter("wide")), "suffix-cut"))) if sums.wide else found
 
 
 def _merged(ranges: list[dict] | None) -> list[Range]:
@@ -501,9 +543,9 @@ def _kept(text: bytes, ranges: list[Range]) -> bytes:
     return b"".join([*parts, text[last:]])
 
 
-def _with_ranges(rows: DataFrame) -> DataFrame:
+def _with_ranges(rows: DataFrame, w: Strings) -> DataFrame:
     """``rows`` with the ranges to remove, null for none."""
-    found = repeats(rows.select("rid", "text"))
+    found = repeats(rows.select("rid", "text"), w)
     return rows.join(found.groupBy("rid").agg(F.collect_set(F.struct("a", "b")).alias("ranges")), "rid", "left")
 
 
@@ -527,12 +569,12 @@ def _judge(batch: pa.RecordBatch) -> pa.RecordBatch:
     )
 
 
-def judged(documents: DataFrame) -> DataFrame:
+def judged(documents: DataFrame, w: Strings = WHOLE) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) of every document."""
     rows = numbered(documents)
     kind = rows.schema["doc_id"].dataType.simpleString()
     return map_batches(
-        _with_ranges(rows).select("doc_id", "text", "ranges"),
+        _with_ranges(rows, w).select("doc_id", "text", "ranges"),
         _judge,
         f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string",
     )
@@ -546,13 +588,13 @@ def _remove(batch: pa.RecordBatch) -> pa.RecordBatch:
     return with_columns(batch, ["row"], {"text": pa.array(left, pa.binary()).cast(pa.string())})
 
 
-def without_repeats(documents: DataFrame) -> DataFrame:
+def without_repeats(documents: DataFrame, w: Strings = WHOLE) -> DataFrame:
     """``documents`` with the repeated bytes cut out of ``text``; no row goes.
 
     Bytes of a character that was cut in part go, too; ``n_chars``, if there, is
     counted again for changed texts. A null text becomes empty.
     """
     rows = packed(documents).select("rid", "row", F.coalesce("row.text", F.lit("")).alias("text"))
-    found = _with_ranges(rows).select("row", "text", "ranges")
+    found = _with_ranges(rows, w).select("row", "text", "ranges")
     cut = map_batches(found, _remove, f"row {found.schema['row'].dataType.simpleString()}, text string")
     return unpacked(cut, documents)

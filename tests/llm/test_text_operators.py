@@ -296,18 +296,26 @@ def repeated_texts():
     ]
 
 
+@pytest.mark.parametrize("strings", [suffix_dedup.WHOLE, suffix_dedup.PASSAGES])
 @pytest.mark.parametrize(("near", "hot"), [(2000, 2000), (0, 2000), (0, 1), (3, 1)])
-def test_suffix_dedup_matches_a_plain_search(docs, monkeypatch, near, hot):
+def test_suffix_dedup_matches_a_plain_search(docs, monkeypatch, near, hot, strings):
     monkeypatch.setattr(suffix_dedup, "NEAR", near)
     monkeypatch.setattr(suffix_dedup, "HOT", hot)
     texts = repeated_texts()
     rows = [*ODD, *enumerate(texts, 100), (100, texts[9])]
     data = [(t or "").encode() for _, t in rows]
     want = Counter()
-    for (key, _), text, gone in zip(rows, data, brute.removed_bytes(data, 400), strict=True):
+    for (key, _), text, gone in zip(rows, data, brute.removed_bytes(data, strings.length), strict=True):
         kept = bytes(b for i, b in enumerate(text) if i not in gone)
         want[key, len(text), len(gone), sum(i - 1 not in gone for i in gone), sha(kept)] += 1
-    assert Counter(tuple(r) for r in suffix_dedup.judged(docs(rows, clash=True)).collect()) == want
+    assert Counter(tuple(r) for r in suffix_dedup.judged(docs(rows, clash=True), strings).collect()) == want
+
+
+def test_strings_need_classes():
+    with pytest.raises(ValueError):
+        suffix_dedup.Strings(length=240, k=33, fine=7)
+    with pytest.raises(ValueError):
+        suffix_dedup.Strings(length=240, k=20, fine=8)
 
 
 def test_interval_expansion_matches_a_plain_search():
