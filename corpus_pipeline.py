@@ -22,8 +22,11 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def no_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the strings that start in two places."""
-    return suffix_dedup.without_repeats(docs)
+    """Documents without the strings of 240 bytes that start in two places, some 50 words each.
+
+    Every copy of such a passage goes, the first one too.
+    """
+    return suffix_dedup.without_repeats(docs, suffix_dedup.PASSAGES)
 
 
 def no_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
