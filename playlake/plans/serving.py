@@ -18,8 +18,8 @@ from playlake.sources.files import (
     read_events,
     read_landed,
     read_view,
-    write_parquet,
 )
+from playlake.sources.versions import write_version
 from playlake.streaming.plays import BATCH_FOLDERS
 
 log = logging.getLogger(__name__)
@@ -59,7 +59,7 @@ def run_serving(
     fresh = speed if overlap else merge.speed_after(read_view(spark, f"{store}/landed_until"), speed)
 
     def put(name: str, df: DataFrame) -> DataFrame:
-        written[name] = write_parquet(df, f"{target}/{name}")
+        written[name] = write_version(df, f"{target}/{name}")
         return read_view(spark, f"{target}/{name}")
 
     put("speed_top_songs", merge.speed_top_songs(speed))

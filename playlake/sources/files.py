@@ -8,7 +8,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from playlake.schema import EVENT_COLUMNS, EVENT_DDL
-
+from playlake.sources.versions import read_version, write_version
 
 log = logging.getLogger(__name__)
 
@@ -51,8 +51,8 @@ def stored_bytes(spark: SparkSession, path: str) -> int:
 
 
 def read_view(spark: SparkSession, path: str) -> DataFrame:
-    """Any Parquet table with the schema of its footer."""
-    return spark.read.parquet(path)
+    """Any Parquet table with the schema of its footer; of a versioned one, the current version."""
+    return read_version(spark, path)
 
 
 def read_json_events(spark: SparkSession, path: str) -> DataFrame:
@@ -101,7 +101,10 @@ def write_json(df: DataFrame, path: str) -> None:
 
 
 def publish(spark: SparkSession, store: str, target: str, names: list[str]) -> dict[str, int | None]:
-    """Copy stored views to the place readers use: name -> rows, None if missing."""
+    """Copy stored views to the place readers use: name -> rows, None if missing.
+
+    Each becomes a new version of its table, so readers see the old or the new one whole.
+    """
     copied: dict[str, int | None] = {}
     for name in names:
         try:
@@ -112,5 +115,5 @@ def publish(spark: SparkSession, store: str, target: str, names: list[str]) -> d
             log.warning("no stored view %s below %s: not published", name, store)
             copied[name] = None
             continue
-        copied[name] = write_parquet(view, f"{target}/{name}")
+        copied[name] = write_version(view, f"{target}/{name}")
     return copied

@@ -20,6 +20,7 @@ from playlake.operators.clean import drop_incomplete, filter_page, stamp
 from playlake.schema import EVENT_COLUMNS
 from playlake.sources.files import LANDED_DDL, read_events, read_view
 from playlake.sources.messages import parse_messages
+from playlake.sources.versions import tidy, write_version
 
 BATCH_FOLDERS = LANDED_DDL
 QUERY_ID = "sql.streaming.queryId"  # lives in the checkpoint: a fresh one gets another id
@@ -134,13 +135,14 @@ def start_level_summary(
     path: str | None = None,
     every: str | None = fixed.SUMMARY_TRIGGER,
 ) -> StreamingQuery:
-    """Print the running summary, or keep the latest one at ``path``."""
+    """Print the running summary, or keep the latest one at ``path``, each as a new version."""
     writer = level_summary(song_plays(events)).writeStream.outputMode("complete")
     if path is None:
         return _start(writer.format("console"), checkpoint, every)
 
     def replace(latest: DataFrame, batch_id: int) -> None:
-        latest.write.mode("overwrite").parquet(path)
+        write_version(latest, path)
+        tidy(latest.sparkSession, path)
 
     return _start(writer.foreachBatch(replace), checkpoint, every)
 
