@@ -547,6 +547,19 @@ def statements() -> dict[str, str]:
     }
     for name, select in stored.items():
         found[f"stored_{name}"] = _with(LAYERS, select.replace("{0}", "batch"))
+    found["bucketed_churn_dataset"] = found["churn_dataset_orders"]
+    found["bucketed_merged_songs"] = found["merged_top_songs"]
+    # At this scale the sketches hold every user's value, so the bars are exact.
+    quartiles = "SELECT daily AS plays_per_day_q25, CAST(days AS BIGINT) AS active_days_q25 FROM bars"
+    found["sketched_quartiles"] = _with(ORDER_CLEAN + FEATURES, quartiles)
+    found["sketched_engagement_labels"] = _with(
+        ORDER_CLEAN + FEATURES,
+        """SELECT userId, CAST(plays_per_day <= daily AND active_days <= days AS INTEGER) AS label
+           FROM features, bars WHERE userId IS NOT NULL""",
+    )
+    for name in ("top_songs", "plays_by_hour", "first_play", "retention"):
+        found[f"by_day_{name}"] = found[name]
+    found["by_day_clean"] = found["clean_events"]
     found["served_top10_songs"] = _with(LAYERS, _top(songs, 10, "song", "artist"))
     for name in ("speed_summary", "merged_top_songs", "merged_top_artists", "merged_active_ts"):
         found[f"served_{name}"] = found[name]

@@ -12,6 +12,7 @@ from playlake.functions.numbers import half_up
 from playlake.operators import audience, churn, clean, counts, features, merge, model_tables, questions, segments, views
 from playlake.plans import models
 from playlake.plans.batch import run_batch
+from playlake.plans.incremental import DayStore, run_incremental
 from playlake.plans.serving import load_catalog, run_serving
 from playlake.schema import PAYLOAD_COLUMNS
 from playlake.session import fresh_dir, prepare
@@ -260,6 +261,28 @@ def _run_layers(spark: SparkSession, raw_events: DataFrame, base: str) -> None:
     run_serving(spark, f"{base}/store", f"{base}/speed", f"{base}/export", names=names)
 
 
+def _run_by_day(spark: SparkSession, raw_events: DataFrame, base: str) -> None:
+    """Three landings of the raw events, dealt by hash: late and repeated events in each."""
+    for number in range(3):
+        part = raw_events.filter(F.pmod(F.xxhash64(*raw_events.columns), F.lit(3)) == number)
+        files.write_parquet(part, f"{base}/raw/run=a/batch_id={number}")
+        run_incremental(spark, f"{base}/raw", f"{base}/days")
+
+
+def _by_day(view: Callable[[DayStore], DataFrame]) -> Query:
+    """A view of the tables by day after all landings."""
+
+    def read(spark: SparkSession, sf_dir: str) -> DataFrame:
+        key = (spark.sparkContext.applicationId, sf_dir, "by_day")
+        if key not in _tables:
+            base = fresh_dir(spark, "by-day")
+            _run_by_day(spark, raw(spark, sf_dir), base)
+            _tables[key] = base
+        return view(DayStore(spark, f"{_tables[key]}/days"))
+
+    return read
+
+
 def plays_only(events: DataFrame) -> DataFrame:
     return clean.drop_incomplete(clean.filter_page(events))
 
@@ -328,6 +351,45 @@ def _speed_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merge.speed_summary(batch(spark, sf_dir), speed(spark, sf_dir))
 
 
+def _cohort_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored sketches of the order users' engagement, one row per span of days."""
+    def build() -> DataFrame:
+        held = order_habits(spark, sf_dir).withColumn("cohort", F.floor(F.col("days_span") / 30))
+        return features.engagement_sketches(held, "cohort")
+
+    return files.read_view(spark, _stored(spark, sf_dir, "engagement_sketches", build))
+
+
+def _sketched_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bars = features.sketched_quartiles(_cohort_sketches(spark, sf_dir))
+    return features.churn_labels_engagement(order_habits(spark, sf_dir), bars)
+
+
+def _bucketed(*parts: tuple[str, Query, tuple[str, ...]]) -> Callable[[SparkSession, str], list[DataFrame]]:
+    """Stored tables in buckets of their keys, written once per session."""
+
+    def tables(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+        db = database(spark, sf_dir)
+        for name, build, keys in parts:
+            key = (spark.sparkContext.applicationId, sf_dir, f"bucketed {name}")
+            if key not in _tables:
+                db.store_bucketed(name, build(spark, sf_dir), *keys, buckets=8)
+                _tables[key] = db.name(name)
+        return [db.table(name) for name, _, _ in parts]
+
+    return tables
+
+
+_dataset_tables = _bucketed(
+    ("churn_features_by_user", order_habits, ("userId",)),
+    ("churn_labels_by_user", _on(order_clean, features.churn_labels_time), ("userId",)),
+)
+_song_tables = _bucketed(
+    ("top_songs_by_key", _on(batch, views.top_songs), ("song", "artist")),
+    ("speed_songs_by_key", _on(speed, merge.speed_top_songs), ("song", "artist")),
+)
+
+
 def _kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
     held = batch(spark, sf_dir)
     return questions.kpi_summary(views.overview(held), _speed_summary(spark, sf_dir), held)
@@ -536,6 +598,20 @@ QUERIES: dict[str, Query] = {
     "served_merged_active_ts": _layers("export/merged_active_ts"),
     "served_merged_active_users": _layers("export/merged_active_users"),
     "served_merged_listeners": _layers("export/merged_listeners"),
+    # tables in buckets, joined without a shuffle
+    "bucketed_churn_dataset": lambda spark, sf_dir: features.churn_dataset(*_dataset_tables(spark, sf_dir)),
+    "bucketed_merged_songs": lambda spark, sf_dir: merge.merged_top_songs(*_song_tables(spark, sf_dir)),
+    # bars from merged sketches
+    "sketched_quartiles": lambda spark, sf_dir: features.sketched_quartiles(_cohort_sketches(spark, sf_dir)),
+    "sketched_engagement_labels": _sketched_labels,
+    # tables by day, after three landings
+    "by_day_clean": _by_day(lambda days: days.clean()),
+    "by_day_top_songs": _by_day(lambda days: views.top_songs(days.tracks())),
+    "by_day_plays_by_hour": _by_day(lambda days: views.plays_by_hour(days.hours())),
+    "by_day_first_play": _by_day(
+        lambda days: days.first_days().withColumnRenamed("first_day", "first_play_date")
+    ),
+    "by_day_retention": _by_day(lambda days: days.retention()),
     # stream
     "stream_append": _stream_append("speed"),
     "stream_append_raw": _stream_append("raw"),

@@ -208,15 +208,17 @@ def approx_listeners(facts: DataFrame) -> DataFrame:
     )
 
 
-def listener_tracks(events: DataFrame) -> DataFrame:
-    """Tally behind the song, artist, level, gender and location views.
+TRACK_KEYS = ["userId", "level", "gender", "location", "artist", "song"]
+
+
+def listener_tracks(events: DataFrame, *more: str) -> DataFrame:
+    """Tally behind the song, artist, level, gender and location views, by ``more`` keys if given.
 
     ``last_seen`` tells which level of a user is the latest.
     """
-    keys = ["userId", "level", "gender", "location", "artist", "song"]
-    return tally(events, *keys, last_seen=last_seen)
+    return tally(events, *TRACK_KEYS, *more, last_seen=last_seen)
 
 
-def listener_hours(events: DataFrame) -> DataFrame:
-    """Tally behind the hourly, daily and retention views."""
-    return tally(with_hour_bucket(events), "userId", "hour_bucket")
+def listener_hours(events: DataFrame, *more: str) -> DataFrame:
+    """Tally behind the hourly, daily and retention views, by ``more`` keys if given."""
+    return tally(with_hour_bucket(events), "userId", "hour_bucket", *more)

@@ -42,6 +42,9 @@ SQL_TEXTS = {
 }
 
 
+BUCKETS = 64
+
+
 class Catalog:
     """One database of play-event tables."""
 
@@ -87,6 +90,19 @@ class Catalog:
         df.write.mode("overwrite").format("parquet").saveAsTable(self.name(table))
         return self.table(table)
 
+    def store_bucketed(self, table: str, df: DataFrame, *keys: str, buckets: int = BUCKETS) -> DataFrame:
+        """Create or replace a managed table whose rows lie in buckets of ``keys``, sorted.
+
+        Two tables of the same keys and number of buckets are joined and grouped by them
+        without a shuffle. Each bucket is one task then, so take a number for the cluster,
+        the same for all tables, and keys with about one row each: a hot key would fill its
+        bucket.
+        """
+        spread = df.repartition(buckets, *keys)
+        writer = spread.write.mode("overwrite").format("parquet").bucketBy(buckets, *keys).sortBy(*keys)
+        writer.saveAsTable(self.name(table))
+        return self.table(table)
+
     def play_events(self, path: str) -> DataFrame:
         return self.external(BATCH_TABLE, path)
 

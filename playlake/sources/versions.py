@@ -25,6 +25,11 @@ def _files(spark: SparkSession, path: str):
     return make(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), make
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    files, make = _files(spark, path)
+    return files.exists(make(path))
+
+
 def _swap(spark: SparkSession, path: str, version: str) -> None:
     """Let the mark of ``path`` name a version, in one step."""
     files, make = _files(spark, path)

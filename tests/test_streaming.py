@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from playlake.schema import EVENT_COLUMNS, PAYLOAD_COLUMNS
 from playlake.sources import files, messages
-from playlake.streaming import plays as stream
+from playlake.streaming import plays as stream, progress
 from tests.conftest import event, millis, rows
 
 MESSAGE_DDL = "value STRING, timestamp TIMESTAMP"
@@ -172,3 +172,55 @@ def test_kafka_source_options(spark):
     assert options["startingOffsets"] == "earliest" and options["failOnDataLoss"] == "false"
     with pytest.raises(Exception, match="(?i)kafka"):  # the connector is not on this class path
         messages.kafka_messages(spark, "broker:9092")
+
+
+def test_progress_table_counts_late_rows(spark, topic):
+    send, read, base = topic
+    send(*[text(at=at(m)) for m in range(11)])
+    send(text(at=at(11)))
+    send(text(at=at(1)), text(at=at(2), song="other"), text(at=at(20)))
+    send(text(at=at(21)))
+    with progress.ProgressTable(spark, f"{base}/progress", flush_rows=2):
+        stream.start_window(read(), f"{base}/out", f"{base}/cp", None).awaitTermination()
+        stream.start_append(stream.song_plays(read()), f"{base}/plain", f"{base}/cp2", None).awaitTermination()
+        for _ in range(100):  # the listener hears of a batch after its query has ended
+            if progress_is_complete(spark, f"{base}/progress"):
+                break
+            time.sleep(0.2)
+    table = progress.read_progress(spark, f"{base}/progress")
+    per_query = sorted(tuple(r)[1:] for r in progress.late_rows(table).collect())
+    windows, plain = sorted(per_query, key=lambda r: -r[2])
+    assert plain[2:] == (0, 0) and plain[1] == 16
+    assert windows[1] == 16 and windows[2] == 2 and windows[3] > 0
+    stateful = table.filter("operator is not null")
+    assert stateful.filter("late_rows > 0").select("operator_name").distinct().count() == 1
+    assert stateful.filter("state_rows < 0 or state_bytes <= 0").count() == 0
+
+
+def progress_is_complete(spark, path) -> bool:
+    """Whether both queries' input shows in the table."""
+    try:
+        held = progress.late_rows(progress.read_progress(spark, path)).agg(F.sum("input_rows")).first()[0]
+    except Exception:  # nothing written yet
+        return False
+    return held == 32
+
+
+def test_a_batch_run_again_counts_once(spark, tmp_path):
+    row = ("q", "r", None, 3, "2024-01-01T00:00:00Z", 0, "stateStoreSave", 5, 2, 1, 1, 10, None)
+    again = ("q", "r2", None, 3, "2024-01-01T00:00:09Z", 0, "stateStoreSave", 5, 2, 1, 2, 10, None)
+    for piece, rows_ in enumerate(([row], [again])):
+        spark.createDataFrame(rows_, progress.PROGRESS_DDL).write.parquet(f"{tmp_path}/piece={piece}")
+    assert rows(progress.late_rows(progress.read_progress(spark, str(tmp_path)))) == [("q", 1, 5, 2, 2)]
+
+
+def test_level_sets_count_users_exactly(spark, topic):
+    send, read, base = topic
+    send(text(), text(userId=2, level="paid"))
+    send(text(userId=3), text(userId=3, artist="B"))
+    run = lambda: stream.start_level_sets(read(), f"{base}/sets", f"{base}/cp3", None).awaitTermination()
+    run()
+    assert rows(stream.level_users(spark, f"{base}/sets"), "level", "active_users", "plays") == [("free", 2, 3), ("paid", 1, 1)]
+    send(text(userId=3), text(userId=9))
+    run()
+    assert rows(stream.level_users(spark, f"{base}/sets"), "level", "active_users", "plays") == [("free", 3, 5), ("paid", 1, 1)]
