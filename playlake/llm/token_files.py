@@ -60,12 +60,18 @@ KEPT_WORDS = 300_000  # twice as many at most
 MARKS = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
+def _ends_in_letter(word: bytes) -> bool:
+    """Whether the last character is a Latin-1 letter: normalising leaves those at the end what they are."""
+    last = word.decode()[-1:]
+    return last.isalpha() and last <= "\xff"
+
+
 class Encoder:
     """The library's ids of texts, each distinct word worked out once for a while.
 
     For tokenizers that lower texts and never join pieces over white space. A word
-    behind which only ASCII marks stand is looked up apart from them: the pattern always
-    cuts between a letter and a mark. A-Z are lowered first, as the tokenizer does. A text
+    behind whose last letter only ASCII marks stand is looked up apart from them: the pattern
+    always cuts between a letter and a mark. A-Z are lowered first, as the tokenizer does. A text
     that might hold an added token gets neither.
     """
 
@@ -119,7 +125,7 @@ class Encoder:
                 known[word] = older[word]
                 continue
             stem = word.rstrip(MARKS)
-            if plain and stem and stem != word and stem.decode()[-1].isalpha():
+            if plain and stem != word and _ends_in_letter(stem):
                 cut[word] = (stem, word[len(stem) :])
                 wanted.update(cut[word])
             else:
