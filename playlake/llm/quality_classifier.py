@@ -4,9 +4,9 @@ A document is a bag of passages of about 512 bytes. Each passage becomes a vecto
 of byte-class shares, hashed three-byte shares and a repetition measure. Gated
 attention weights ``softmax(w . (tanh(V h) * sigmoid(U h)))`` combine the vectors
 of a document; a logistic layer scores the combination. Only document labels
-train the weights, by full-batch Adam on the driver over a bounded sample:
-``SAMPLE`` labelled documents, each by at most ``TRAIN_PASSAGES`` evenly spaced
-passages. Scoring reads every passage of every document.
+train the weights, by full-batch Adam on the driver over a bounded sample of labelled
+rows: at most ``SAMPLE``, and no more than have ``TRAIN_BYTES`` of text together, each
+with all of its passages. Scoring reads every passage of every document.
 
 Defined cases: null and empty texts are one passage of zeros; repeated rows score
 alike, each in a row of its own; without labels of both kinds the score is the
@@ -28,8 +28,9 @@ PASSAGE = 512
 BUCKETS = 64
 HIDDEN = 16
 SAMPLE = 4000
-TRAIN_PASSAGES = 64
+TRAIN_BYTES = 48 << 20  # some 98,000 passages, 30 MB of vectors
 ROUNDS = 400
+DECAY = 1e-4
 THRESHOLD = 0.3
 FOLDS = 5
 BLOCK_BYTES = 4 << 20
@@ -152,6 +153,22 @@ def _forward(w, h, starts, counts) -> dict:
     }
 
 
+def _gradient(w, h, starts, counts, target) -> dict[str, np.ndarray]:
+    """Of the mean log loss, and of DECAY / 2 times the squared weights (all but ``b``)."""
+    f = _forward(w, h, starts, counts)
+    error = (f["score"] - target) / len(target)
+    to_h = np.repeat(error, counts) * (h @ w["c"])
+    to_raw = f["attention"] * (to_h - np.repeat(np.add.reduceat(f["attention"] * to_h, starts), counts))
+    to_gated = to_raw[:, None] * w["w"]
+    return {
+        "c": f["bag"].T @ error + DECAY * w["c"],
+        "b": np.array([error.sum()]),
+        "w": (f["gate"] * f["squashed"]).T @ to_raw + DECAY * w["w"],
+        "V": h.T @ (to_gated * f["gate"] * (1 - f["squashed"] ** 2)) + DECAY * w["V"],
+        "U": h.T @ (to_gated * f["squashed"] * f["gate"] * (1 - f["gate"])) + DECAY * w["U"],
+    }
+
+
 def fit(vectors: np.ndarray, counts: np.ndarray, target: np.ndarray) -> Model:
     """Gated attention and logistic layer by Adam on the mean log loss."""
     if not len(counts) or target.min() == target.max():
@@ -168,18 +185,7 @@ def fit(vectors: np.ndarray, counts: np.ndarray, target: np.ndarray) -> Model:
     }
     first, second = ({k: np.zeros_like(v) for k, v in w.items()} for _ in range(2))
     for step in range(1, ROUNDS + 1):
-        f = _forward(w, h, starts, counts)
-        error = (f["score"] - target) / len(target)
-        to_h = np.repeat(error, counts) * (h @ w["c"])
-        to_raw = f["attention"] * (to_h - np.repeat(np.add.reduceat(f["attention"] * to_h, starts), counts))
-        to_gated = to_raw[:, None] * w["w"]
-        grad = {
-            "c": f["bag"].T @ error + 1e-4 * w["c"],
-            "b": np.array([error.sum()]),
-            "w": (f["gate"] * f["squashed"]).T @ to_raw + 1e-4 * w["w"],
-            "V": h.T @ (to_gated * f["gate"] * (1 - f["squashed"] ** 2)) + 1e-4 * w["V"],
-            "U": h.T @ (to_gated * f["squashed"] * f["gate"] * (1 - f["gate"])) + 1e-4 * w["U"],
-        }
+        grad = _gradient(w, h, starts, counts, target)
         for k, g in grad.items():
             first[k] = 0.9 * first[k] + 0.1 * g
             second[k] = 0.999 * second[k] + 0.001 * g * g
@@ -189,6 +195,7 @@ def fit(vectors: np.ndarray, counts: np.ndarray, target: np.ndarray) -> Model:
 
 def _train(documents: DataFrame, labels: DataFrame) -> Model:
     """Fit on a bounded sample of labelled documents outside the held-out fold."""
+    kind = documents.schema["doc_id"].dataType.simpleString()
     order = F.xxhash64(F.col("doc_id").cast("string"))
     chosen = (
         labels.filter(F.col("quality").isNotNull() & F.col("doc_id").isNotNull() & (remainder("doc_id", FOLDS) != 0))
@@ -199,21 +206,27 @@ def _train(documents: DataFrame, labels: DataFrame) -> Model:
     )
     rows = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     rows = rows.join(F.broadcast(chosen), "doc_id")  # SAMPLE rows at most
+    # An id may have several texts: the same bound again, and that of bytes. Copies train once.
+    rows = rows.withColumn("which", F.xxhash64("text"))
+    sized = rows.groupBy("doc_id", "which").agg(F.max(F.octet_length("text")).alias("size"))
+    drawn, total = [], 0
+    for row in sized.orderBy(order, "doc_id", "which").limit(SAMPLE).collect():
+        if total + row["size"] <= TRAIN_BYTES:
+            total += row["size"]
+            drawn.append((row["doc_id"], row["which"]))
+    picks = documents.sparkSession.createDataFrame(drawn, f"doc_id {kind}, which long")
+    rows = rows.join(F.broadcast(picks), ["doc_id", "which"]).dropDuplicates(["doc_id", "which"])
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         vectors, counts = encode(texts(batch))
-        bags = []
-        for start, count in zip(_starts(counts), counts, strict=True):
-            kept = np.unique(np.linspace(0, count - 1, min(count, TRAIN_PASSAGES)).astype(np.int64))
-            bags.append(vectors[start + kept].tobytes())
+        ends = np.cumsum(counts)
+        bags = [vectors[end - count : end].tobytes() for end, count in zip(ends, counts, strict=True)]
         return pa.RecordBatch.from_arrays(
             [batch.column("doc_id"), batch.column("target"), pa.array(bags, pa.binary())], ["doc_id", "target", "bag"]
         )
 
-    kind = documents.schema["doc_id"].dataType.simpleString()
-    bags = map_batches(rows, work, f"doc_id {kind}, target double, bag binary")
-    # Repeated ids may give more bags than labels: the same bound again.
-    found = bags.orderBy(order, "doc_id", "bag").limit(SAMPLE).collect()
+    bags = map_batches(rows.select("doc_id", "target", "text"), work, f"doc_id {kind}, target double, bag binary")
+    found = sorted(bags.collect(), key=lambda row: (repr(row.doc_id), row.bag))
     blocks = [np.frombuffer(row.bag, np.float32).reshape(-1, WIDTH) for row in found]
     vectors = np.concatenate(blocks) if blocks else np.zeros((0, WIDTH), np.float32)
     return fit(vectors, np.array([len(b) for b in blocks], np.int64), np.array([r.target for r in found], np.float64))
