@@ -17,7 +17,9 @@ and then, where classes are still apart, against the last. In buckets of several
 classes that are left, texts of different classes are compared by coarse counts
 (shingles per ``CELLS`` hash values), which bound the overlap from above: a pair
 below the bound cannot be a link, so none is left out, and only the others are
-made rows. Such buckets are taken in blocks of ``BLOCK`` texts, so a bucket of any
+made rows, each in the first band that its texts share. A text's likely partners are
+verified in turns, a few first, then all others; classes meet after each turn,
+and pairs within a class need no row any more. Such buckets are taken in blocks of ``BLOCK`` texts, so a bucket of any
 size is spread over tasks. A link needs an exact overlap of ``SIMILAR``; classes
 are connected components of links.
 
@@ -31,6 +33,7 @@ through :func:`keep_first`.
 from __future__ import annotations
 
 import hashlib
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -46,6 +49,7 @@ LONG_WORD = 64
 CELLS = 256
 MOST = 65535  # of a cell's count
 BLOCK = 1024
+TURNS = (16,)  # likely partners of a text before its classes are looked at again
 MASK = 2**64 - 1
 
 _WORD = np.zeros(256, bool)
@@ -197,33 +201,47 @@ def _multiset(batch: pa.RecordBatch) -> pa.RecordBatch:
     return with_columns(batch, ["rid"], {"held": pa.array(held, pa.binary()), "cells": pa.array(cells, pa.binary())})
 
 
-def _likely_pairs(batches):
-    """Pairs of different classes whose coarse counts allow a link.
+def _likely_pairs(first: int, last: int | None, batches):
+    """Pairs of different classes whose coarse counts allow a link, the ``first`` to ``last`` of each text.
 
     Rows come ordered by (key, left, right): the texts of a bucket's two blocks, or
-    of one block if both are the same.
+    of one block if both are the same. A pair is looked at in the first band that its texts
+    share. A text's likely partners are numbered by what was known before the first turn, so
+    every pair has its turn; a pair whose classes have met by then needs none. A row of -1
+    says that pairs of later turns are left.
     """
-    names = ("key", "left", "right", "block", "rid", "class", "size", "cells")
+    names = ("key", "left", "right", "block", "rid", "before", "class", "size", "cells", "bands")
     group, rows = None, []
 
     def compared():
-        left = group[1]
-        rids, classes_, sizes = (np.array([r[k] for r in rows], np.int64) for k in (1, 2, 3))
+        key, left, right = group
+        rids, before, classes_, sizes = (np.array([r[k] for r in rows], np.int64) for k in (1, 2, 3, 4))
         blocks = np.array([r[0] for r in rows], np.int64)
-        cells = np.frombuffer(b"".join(r[4] for r in rows), np.uint16).reshape(-1, CELLS)
+        cells = np.frombuffer(b"".join(r[5] for r in rows), np.uint16).reshape(-1, CELLS)
+        bands_ = np.array([r[6] for r in rows], np.int64)
+        band = int(np.flatnonzero(bands_[0] == key)[0])
         full = (cells == MOST).all(axis=1)
-        first, second = [], []
+        a, b, more = [], [], False
         for one in np.flatnonzero(blocks == left).tolist():
-            others = classes_ != classes_[one]
-            others &= (np.arange(len(rows)) > one) if group[1] == group[2] else (blocks != left)
+            others = before != before[one]
+            others &= (np.arange(len(rows)) > one) if left == right else (blocks != left)
             others = np.flatnonzero(others)
+            others = others[~(bands_[others, :band] == bands_[one, :band]).any(axis=1)]
             small = np.minimum(sizes[others], sizes[one])
             both = np.minimum(np.minimum(cells[others], cells[one]).sum(axis=1, dtype=np.int64), small)
             both = np.where(full[others] & full[one], small, both)
             likely = others[5 * both >= 4 * (sizes[others] + sizes[one] - both)]
-            first += [int(rids[one])] * len(likely)
-            second += rids[likely].tolist()
-        return pa.RecordBatch.from_arrays([pa.array(first, pa.int64()), pa.array(second, pa.int64())], ["a", "b"])
+            apart = classes_[likely] != classes_[one]
+            turn = np.arange(len(likely)) >= first
+            if last is not None:
+                more = more or bool(apart[last:].any())
+                turn &= np.arange(len(likely)) < last
+            chosen = likely[apart & turn]
+            a += [int(rids[one])] * len(chosen)
+            b += rids[chosen].tolist()
+        if more:
+            a, b = [*a, -1], [*b, -1]
+        return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
     for batch in batches:
         for key, left, right, *row in zip(*(batch.column(c).to_pylist() for c in names), strict=True):
@@ -236,23 +254,22 @@ def _likely_pairs(batches):
         yield compared()
 
 
-def _within_buckets(classed: DataFrame, multisets: DataFrame) -> DataFrame:
-    """Likely links (a, b) between classes that share a bucket."""
+def _within_buckets(classed: DataFrame, coarse: DataFrame, first: int, last: int | None) -> DataFrame:
+    """Likely links (a, b) between classes that share a bucket, those of one turn."""
     mixed = classed.groupBy("key").agg(
         F.min("class").alias("low"), F.max("class").alias("high"), F.count(F.lit(1)).alias("n")
     )
     mixed = mixed.filter("low < high").select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
-    coarse = multisets.select("rid", (F.octet_length("held") / 8).cast("long").alias("size"), "cells")
     held = classed.join(mixed, "key").join(coarse, "rid")
     held = held.withColumn("block", F.pmod(F.xxhash64("rid"), F.col("blocks")).cast("int"))
     held = held.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     held = held.select(
         "key", F.least("block", "other").alias("left"), F.greatest("block", "other").alias("right"),
-        "block", "rid", "class", "size", "cells",
+        "block", "rid", "before", "class", "size", "cells", "bands",
     )
     spread = int(classed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ordered = held.repartition(spread, "key", "left", "right").sortWithinPartitions("key", "left", "right", "rid")
-    return ordered.mapInArrow(_likely_pairs, "a long, b long")
+    return ordered.mapInArrow(partial(_likely_pairs, first, last), "a long, b long")
 
 
 def _similar(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -313,25 +330,41 @@ def classes(documents: DataFrame) -> DataFrame:
         "near-multisets",
     )
 
+    def classed(labels: DataFrame | None) -> DataFrame:
+        held = buckets if labels is None else buckets.join(labels, "rid", "left")
+        named = F.col("rid") if labels is None else F.coalesce("class", "rid")
+        return held.select("key", "rid", named.alias("class"))
+
     links, labels = None, None
-    for pick in (F.min, F.max, None):
-        classed = buckets if labels is None else buckets.join(labels, "rid", "left")
-        classed = classed.withColumn("class", F.lit(None).cast("long") if labels is None else F.col("class"))
-        classed = classed.select("key", "rid", F.coalesce("class", "rid").alias("class"))
-        if pick:
-            leader = F.struct("rid", "class")
-            led = classed.groupBy("key").agg(
-                pick(leader).alias("lead"), F.min("class").alias("low"), F.max("class").alias("high")
-            )
-            led = led.filter("low < high").select("key", "lead")
-            pairs = classed.join(led, "key").filter(F.col("class") != F.col("lead.class"))
-            pairs = pairs.select(F.col("rid").alias("a"), F.col("lead.rid").alias("b"))
-        else:
-            pairs = _within_buckets(classed, multisets)
+
+    def linked(pairs: DataFrame) -> DataFrame:
+        """Classes once the likely ``pairs`` are verified, too."""
+        nonlocal links
         pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         found = stored(_verified(pairs, multisets), "near-links")
+        if labels is not None and found.isEmpty():
+            return labels
         links = found if links is None else links.union(found)
-        labels = components(links)
+        return components(links)
+
+    for pick in (F.min, F.max):
+        held = classed(labels)
+        led = held.groupBy("key").agg(
+            pick(F.struct("rid", "class")).alias("lead"), F.min("class").alias("low"), F.max("class").alias("high")
+        )
+        pairs = held.join(led.filter("low < high").select("key", "lead"), "key").filter(F.col("class") != F.col("lead.class"))
+        labels = linked(pairs.select(F.col("rid").alias("a"), F.col("lead.rid").alias("b")))
+    before = labels.select("rid", F.col("class").alias("before"))
+    coarse = multisets.select("rid", (F.octet_length("held") / 8).cast("long").alias("size"), "cells")
+    coarse = coarse.join(sketches.select("rid", "bands"), "rid").join(before, "rid", "left")
+    coarse = stored(coarse.withColumn("before", F.coalesce("before", "rid")), "near-coarse")
+    for first, last in zip((0, *TURNS), (*TURNS, None), strict=True):
+        pairs = stored(_within_buckets(classed(labels), coarse, first, last), "near-likely")
+        likely = pairs.filter("a >= 0")
+        if not likely.isEmpty():
+            labels = linked(likely)
+        if pairs.filter("a < 0").isEmpty():
+            break
     named = members.join(labels.withColumnRenamed("rid", "first"), "first", "left")
     return named.select("rid", "doc_id", F.coalesce("class", "first").alias("class"))
 

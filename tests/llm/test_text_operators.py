@@ -183,12 +183,64 @@ def test_classifier_ranks_held_out_documents(spark):
     assert np.mean([g > b for g in good for b in bad]) > 0.95
 
 
-def test_classifier_gradient_is_right():
-    rng = np.random.default_rng(3)
-    counts = np.array([3, 1, 4])
-    vectors = rng.normal(size=(8, quality_classifier.WIDTH)).astype(np.float32)
-    model = quality_classifier.fit(vectors, counts, np.array([1.0, 0.0, 1.0]))
-    assert np.round(model.scores(vectors, counts)).tolist() == [1, 0, 1]
+def plain_score(w, bag):
+    """Gated attention of one document, passage by passage."""
+    raw = [sum(w["w"] * np.tanh(w["V"].T @ h) / (1 + np.exp(-(w["U"].T @ h)))) for h in bag]
+    shares = np.exp(raw) / sum(np.exp(raw))
+    whole = sum(share * h for share, h in zip(shares, bag, strict=True))
+    return 1 / (1 + np.exp(-(w["c"] @ whole + w["b"][0])))
+
+
+def small_attention(rng):
+    counts, width = np.array([3, 1, 4, 2]), 5
+    w = {"V": rng.normal(size=(width, 3)), "U": rng.normal(size=(width, 3)), "w": rng.normal(size=3)}
+    w |= {"c": rng.normal(size=width), "b": rng.normal(size=1)}
+    return w, rng.normal(size=(counts.sum(), width)), quality_classifier._starts(counts), counts
+
+
+def test_classifier_forward_matches_a_plain_version():
+    w, h, starts, counts = small_attention(np.random.default_rng(1))
+    got = quality_classifier._forward(w, h, starts, counts)["score"]
+    want = [plain_score(w, h[a : a + n]) for a, n in zip(starts, counts, strict=True)]
+    assert got == pytest.approx(want, abs=1e-12)
+
+
+def test_classifier_gradient_matches_finite_differences():
+    w, h, starts, counts = small_attention(np.random.default_rng(2))
+    target = np.array([1.0, 0.0, 0.5, 1.0])
+
+    def loss():
+        scores = [plain_score(w, h[a : a + n]) for a, n in zip(starts, counts, strict=True)]
+        logs = sum(t * math.log(s) + (1 - t) * math.log(1 - s) for s, t in zip(scores, target, strict=True))
+        squares = sum((w[k] ** 2).sum() for k in "VUwc")
+        return -logs / len(target) + quality_classifier.DECAY / 2 * squares
+
+    got = quality_classifier._gradient(w, h, starts, counts, target)
+    for name, values in w.items():
+        for place in np.ndindex(values.shape):
+            held = values[place]
+            values[place] = held + 1e-5
+            above = loss()
+            values[place] = held - 1e-5
+            below = loss()
+            values[place] = held
+            assert got[name][place] == pytest.approx((above - below) / 2e-5, abs=1e-8)
+
+
+def test_classifier_trains_on_whole_texts_within_its_bound(spark, docs, monkeypatch):
+    trained = []
+    fit = quality_classifier.fit
+    monkeypatch.setattr(quality_classifier, "fit", lambda v, c, t: trained.append((c.tolist(), t.tolist())) or fit(v, c, t))
+    long = "plain words of a long text " * 4000  # 108,000 bytes, 210 passages
+    rows = [(1, long), (1, long), (2, "short"), (3, "#" * 2000), (1, "another text of the id"), (4, None)]
+    rows = [(i, t) for i, t in rows if zlib.crc32(str(i).encode()) % 5]
+    labels = spark.createDataFrame([(n, n % 2) for n in range(1, 5)], "doc_id long, quality int")
+    quality_classifier.scored(docs(rows), labels)
+    sizes = sorted(max(1, len(t or "") // 512) for _, t in set(rows))
+    assert sorted(trained[0][0]) == sizes
+    monkeypatch.setattr(quality_classifier, "TRAIN_BYTES", 3000)
+    quality_classifier.scored(docs(rows), labels)
+    assert max(trained[1][0]) < 10 and len(trained[1][0]) == len(sizes) - (max(sizes) > 10)
 
 
 def test_classifier_on_odd_tables(spark, docs):
@@ -459,9 +511,10 @@ def near_texts():
     return texts
 
 
-@pytest.mark.parametrize("block", [1024, 2])
-def test_near_classes_match_all_pairs(docs, monkeypatch, block):
+@pytest.mark.parametrize(("block", "turns"), [(1024, (16,)), (2, (4, 64)), (3, (1,))])
+def test_near_classes_match_all_pairs(docs, monkeypatch, block, turns):
     monkeypatch.setattr(near_dedup, "BLOCK", block)
+    monkeypatch.setattr(near_dedup, "TURNS", turns)
     rows = [*ODD, *enumerate(near_texts(), 100)]
     texts = [t for _, t in rows]
     got = sorted(near_dedup.classes(docs(rows, clash=True)).collect())
@@ -579,17 +632,57 @@ def test_query_columns_come_from_each_piece_span(docs, monkeypatch):
         assert all(b - a == 1 for k, a, b in zip(ids, starts, ends, strict=True) if codec.library.is_byte(k))
 
 
-def test_coarse_counts_keep_pairs_of_very_long_texts():
-    def likely(*weights):
-        count, sizes = len(weights), list(weights)
-        cells = near_dedup._cells(np.arange(count), np.full(count, 7, np.uint64), np.array(weights), count)
-        columns = {
-            "key": [1] * count, "left": [0] * count, "right": [0] * count, "block": [0] * count,
-            "rid": list(range(count)), "class": list(range(count)), "size": sizes, "cells": cells,
-        }
-        [found] = near_dedup._likely_pairs([pa.RecordBatch.from_pydict(columns)])
-        return list(zip(*(found.column(c).to_pylist() for c in "ab"), strict=True))
+def likely_pairs(weights, first=0, last=None, now=None, bands=None, key=1):
+    """Pairs of texts of one repeated shingle each, by their numbers of it."""
+    count = len(weights)
+    cells = near_dedup._cells(np.arange(count), np.full(count, 7, np.uint64), np.array(weights), count)
+    columns = {
+        "key": [key] * count, "left": [0] * count, "right": [0] * count, "block": [0] * count, "rid": list(range(count)),
+        "before": list(range(count)), "class": now or list(range(count)), "size": list(weights), "cells": cells,
+        "bands": bands or [[1, n + 5] for n in range(count)],
+    }
+    [found] = near_dedup._likely_pairs(first, last, [pa.RecordBatch.from_pydict(columns)])
+    return list(zip(*(found.column(c).to_pylist() for c in "ab"), strict=True))
+
 
+def test_coarse_counts_keep_pairs_of_very_long_texts():
     # Each has more in its cell than a count holds; only the sizes bound such pairs.
-    assert likely(19_000_000, 19_000_000, 16_000_000, 10_000_000) == [(0, 1), (0, 2), (1, 2)]
-    assert likely(60_000, 50_000, 40_000) == [(0, 1), (1, 2)]
+    assert likely_pairs([19_000_000, 19_000_000, 16_000_000, 10_000_000]) == [(0, 1), (0, 2), (1, 2)]
+    assert likely_pairs([60_000, 50_000, 40_000]) == [(0, 1), (1, 2)]
+
+
+def test_turns_take_every_pair_once_and_skip_what_has_met():
+    every = likely_pairs([100] * 9)
+    assert len(every) == 36
+    first = likely_pairs([100] * 9, 0, 2)
+    assert first[-1] == (-1, -1) and max(Counter(a for a, _ in first).values()) == 2
+    rest = likely_pairs([100] * 9, 2, None)
+    assert sorted([*first[:-1], *rest]) == every
+    assert likely_pairs([100] * 9, 2, None, now=[0] * 9) == [] == likely_pairs([100] * 9, 0, 2, now=[0] * 9)
+    apart = likely_pairs([100] * 9, 2, 4, now=[0] * 8 + [8])
+    assert apart[-1] == (-1, -1) and {b for _, b in apart[:-1]} == {8}
+    # A pair is a matter of the first band it shares.
+    shared = [[3, 1], [3, 1], [4, 1]]
+    assert likely_pairs([100] * 3, bands=shared) == [(0, 2), (1, 2)]
+    assert likely_pairs([100] * 2, bands=shared[:2], key=3) == [(0, 1)]
+
+
+def test_links_of_one_bucket_of_many_texts_stay_few(docs, monkeypatch):
+    # Copies of one text, each with an edit of its own: likely pairs of all with all.
+    made = []
+    verified = near_dedup._verified
+    monkeypatch.setattr(near_dedup, "_verified", lambda pairs, held: made.append(pairs.count()) or verified(pairs, held))
+    rng = random.Random(3)
+    base = [f"w{n}" for n in range(200)]
+    rows = []
+    for n in range(400):
+        copy = list(base)
+        for _ in range(3):
+            copy[rng.randrange(200)] = f"e{rng.randrange(10**6)}"
+        rows.append((n, " ".join(copy)))
+    table = docs(rows)
+    got = near_dedup.grouped(table).collect()
+    want = brute.near_classes([t for _, t in rows])
+    sizes = Counter(want)
+    assert sorted(r.class_size for r in got) == sorted(sizes[c] for c in want)
+    assert sum(made) < 30 * len(rows)
