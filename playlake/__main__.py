@@ -9,6 +9,7 @@ from pyspark.sql import SparkSession
 from playlake import fixed
 from playlake.operators import counts
 from playlake.plans.batch import run_batch
+from playlake.plans.incremental import run_incremental
 from playlake.plans.serving import load_catalog, run_serving
 from playlake.session import prepare, size_for
 from playlake.sources import files, messages
@@ -47,6 +48,21 @@ def catalog(spark: SparkSession, args: argparse.Namespace) -> None:
     load_catalog(spark, args.database, args.clean, args.speed, args.location, folders)
 
 
+def by_day(spark: SparkSession, args: argparse.Namespace) -> None:
+    """Bring the tables by day up to what has landed."""
+    size_for(spark, files.stored_bytes(spark, args.raw))
+    for name, rows in run_incremental(spark, args.raw, args.store).items():
+        print(f"{name}: {rows}")
+
+
+def nightly(spark: SparkSession, args: argparse.Namespace) -> None:
+    """All steps of a night in their order: batch run, catalog, then the export, by the batch run's mark."""
+    batch(spark, args)
+    args.clean = f"{args.store}/clean"
+    catalog(spark, args)
+    serve(spark, args)
+
+
 def export_json(spark: SparkSession, args: argparse.Namespace) -> None:
     size_for(spark, files.stored_bytes(spark, args.clean))
     files.write_json(files.read_events(spark, args.clean), args.json)
@@ -93,6 +109,13 @@ def parser() -> argparse.ArgumentParser:
     tables.add_argument("--speed")
     tables.add_argument("--location")
     tables.add_argument("--flat-speed", action="store_true")
+    job("by-day", by_day, "--raw", "--store")
+    whole = job("nightly", nightly, "--raw", "--store", "--speed", "--export", "--database")
+    whole.add_argument("--no-models", action="store_true")
+    whole.add_argument("--input-bytes", type=int)
+    whole.add_argument("--overlap", action="store_true")
+    whole.add_argument("--location")
+    whole.add_argument("--flat-speed", action="store_true")
     job("export-json", export_json, "--clean", "--json")
     job("counts", keyed_counts, "--json", "--out")
     return top

@@ -5,6 +5,7 @@ from playlake import fixed
 from playlake.__main__ import main
 from playlake.operators import views
 from playlake.plans.batch import run_batch
+from playlake.plans.incremental import DayStore
 from playlake.plans.serving import load_catalog, run_serving
 from playlake.schema import EVENT_COLUMNS
 from playlake.session import CHECKPOINT_SETTING, fresh_dir, shared_dir, size_for, task_layout
@@ -210,3 +211,20 @@ def test_command_line(spark, store, tmp_path):
         "--clean", f"{out}/store/clean", "--speed", f"{base}/speed", "--flat-speed",
     ])
     assert spark.table("lake_cli.merged_top_songs").count() > 0
+
+
+def test_nightly_command_and_the_run_by_day(spark, store, tmp_path):
+    base, _ = store
+    out = str(tmp_path)
+    spark.sql("USE default")
+    main([
+        "nightly", "--raw", f"{base}/raw", "--store", f"{out}/store", "--speed", f"{base}/speed", "--no-models",
+        "--export", f"{out}/export", "--database", "lake_night", "--location", fresh_dir(spark, "db"),
+    ])
+    clean = files.read_events(spark, f"{out}/store/clean")
+    assert spark.table("lake_night.play_events").count() == clean.count()
+    assert rows(files.read_view(spark, f"{out}/export/merged_top_songs")) == rows(
+        files.read_view(spark, f"{base}/export/merged_top_songs")
+    )
+    main(["by-day", "--raw", f"{base}/raw", "--store", f"{out}/days"])
+    assert rows(DayStore(spark, f"{out}/days").clean()) == rows(clean)
