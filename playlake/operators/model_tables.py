@@ -39,7 +39,7 @@ def input_table(spark: SparkSession, model: PipelineModel | None) -> DataFrame:
     rows = []
     if model is not None:
         _, assembler, scaler, _ = model.stages
-        spread = zip(assembler.getInputCols(), scaler.mean.tolist(), scaler.std.tolist(), strict=True)
+        spread = zip(assembler.getInputCols(), scaler.mean.toArray().tolist(), scaler.std.toArray().tolist(), strict=True)
         rows = [(n, name, mean, 1.0 / std if std else 0.0) for n, (name, mean, std) in enumerate(spread)]
     return spark.createDataFrame(rows, INPUTS_DDL)
 
