@@ -575,7 +575,7 @@ def test_pipeline_stages_match_plain_versions(spark, tmp_path):
     single = listed("near-dedup")
     assert len(single) == len(set(first))
     keys = list(single)
-    gone = brute.removed_bytes([single[k].encode() for k in keys], 400)
+    gone = brute.removed_bytes([single[k].encode() for k in keys], suffix_dedup.PASSAGES.length)
     short = {
         k: bytes(b for i, b in enumerate(single[k].encode()) if i not in g).decode("utf-8", "ignore")
         for k, g in zip(keys, gone, strict=True)
