@@ -3,12 +3,12 @@ from pyspark.sql import functions as F
 
 from playlake import fixed
 from playlake.__main__ import main
-from playlake.operators import views
+from playlake.operators import clean, views
 from playlake.plans.batch import run_batch
 from playlake.plans.incremental import DayStore
 from playlake.plans.serving import load_catalog, run_serving
 from playlake.schema import EVENT_COLUMNS
-from playlake.session import CHECKPOINT_SETTING, fresh_dir, shared_dir, size_for, task_layout
+from playlake.session import CHECKPOINT_SETTING, fresh_dir, shared_dir, shuffles_for, size_for, task_layout
 from playlake.sources import catalog, files, testdata
 from tests.conftest import SMALL, TINY, event, rows
 
@@ -194,6 +194,33 @@ def test_sizing_never_lowers_the_setting(spark):
         spark.conf.set(splits, before)
 
 
+def test_shuffles_grow_with_the_tables(spark):
+    initial = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    splits = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        shuffles_for(spark, 512 << 20)
+        assert spark.conf.get(initial) == "128"
+        assert spark.conf.get("spark.sql.files.maxPartitionBytes") == splits
+        shuffles_for(spark, 6 * 512 << 20)
+        assert spark.conf.get(initial) == "768"
+    finally:
+        spark.conf.unset(initial)
+
+
+def test_orders_are_cleaned_where_their_lines_were_joined(spark):
+    """No wide row of fixture B is moved again for its deduplication, nor by its listener's key."""
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        plan = clean.clean_events(testdata.order_plays(spark, TINY))._jdf.queryExecution().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    physical = plan[plan.index("== Physical Plan ==") :]
+    moved = [line for line in physical.splitlines() if "Exchange hashpartitioning(" in line]
+    assert sum("hashpartitioning(sessionId" in line for line in moved) == 2
+    assert not any("hashpartitioning(ts" in line or "userId" in line for line in moved)
+
+
 def test_command_line(spark, store, tmp_path):
     base, _ = store
     out = str(tmp_path)
