@@ -207,18 +207,21 @@ def test_shuffles_grow_with_the_tables(spark):
         spark.conf.unset(initial)
 
 
-def test_orders_are_cleaned_where_their_lines_were_joined(spark):
-    """No wide row of fixture B is moved again for its deduplication, nor by its listener's key."""
+@pytest.mark.parametrize(
+    ("plays", "key", "other"), [(testdata.order_plays, "sessionId", "userId"), (testdata.raw_events, "userId", "sessionId")]
+)
+def test_plays_are_cleaned_where_they_were_joined(spark, plays, key, other):
+    """No wide row is moved again for its deduplication."""
     limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     try:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-        plan = clean.clean_events(testdata.order_plays(spark, TINY))._jdf.queryExecution().toString()
+        plan = clean.clean_events(plays(spark, TINY))._jdf.queryExecution().toString()
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
     physical = plan[plan.index("== Physical Plan ==") :]
     moved = [line for line in physical.splitlines() if "Exchange hashpartitioning(" in line]
-    assert sum("hashpartitioning(sessionId" in line for line in moved) == 2
-    assert not any("hashpartitioning(ts" in line or "userId" in line for line in moved)
+    assert sum(f"hashpartitioning({key}" in line for line in moved) == 2
+    assert not any("hashpartitioning(ts" in line or f"hashpartitioning({other}" in line for line in moved)
 
 
 def test_command_line(spark, store, tmp_path):
