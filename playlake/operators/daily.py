@@ -48,10 +48,15 @@ def outside(column: str, days: list) -> Column:
 
 
 def survivors(held: DataFrame, fresh: DataFrame) -> DataFrame:
-    """Survivors of what is held for some days and of new raw events."""
+    """Survivors of what is held for some days and of new raw events, laid out by day.
+
+    Rows are dealt by ranges of (day, key), which both the deduplication and files by day
+    can use: they are moved and sorted once, in tasks cut for their number.
+    """
     columns = [c for c in held.columns if c != "day"]
     new = clean.filter_page(fresh).select(*columns)
-    return with_day(clean.dedup(held.select(*columns).unionByName(new)))
+    rows = with_day(held.select(*columns).unionByName(new))
+    return clean.dedup(rows.repartitionByRange("day", *clean.EVENT_KEY), "day")
 
 
 def user_days(hours: DataFrame) -> DataFrame:

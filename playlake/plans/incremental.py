@@ -12,9 +12,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from playlake.operators import clean, daily, merge, views
 from playlake.schema import EVENT_COLUMNS, EVENT_DDL
-from playlake.session import fresh_dir, prepare
+from playlake.session import STORED_WIDENED, fresh_dir, prepare, size_for
 from playlake.sources import versions
-from playlake.sources.files import read_landed, require_events
+from playlake.sources.files import read_landed, require_events, stored_bytes
 
 SURVIVORS = f"{EVENT_DDL}, day DATE"
 TRACKS = (
@@ -25,6 +25,7 @@ HOURS = "userId INT, hour_bucket TIMESTAMP, plays BIGINT, seconds DOUBLE, timed
 USER_DAYS = "userId INT, play_date DATE, plays BIGINT, day DATE"
 FIRST_DAYS = "userId INT, first_day DATE"
 MARK = "run STRING, last_batch BIGINT"
+NO_DAY = "__HIVE_DEFAULT_PARTITION__"  # Spark's folder of a null
 
 
 class DayStore:
@@ -62,13 +63,21 @@ class DayStore:
     def retention(self) -> DataFrame:
         return self._read("retained", daily.RETAINED_DDL).filter("user_type is not null")
 
+    def held_bytes(self, name: str, days: list) -> int:
+        """Bytes of the files of some days."""
+        folders = [f"day={NO_DAY if day is None else day}" for day in days]
+        return sum(versions.size(self.spark, f"{self.store}/{name}/{folder}") for folder in folders)
+
     def mark(self) -> DataFrame:
         return self._read("landed_until", MARK, versioned=True)
 
-    def swap(self, name: str, rows: DataFrame, by: str = "day") -> None:
-        """Replace the days that ``rows`` holds; all other days stay as they are."""
-        writer = rows.hint("rebalance", by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        writer.partitionBy(by).parquet(f"{self.store}/{name}")
+    def swap(self, name: str, staged: str) -> None:
+        """Replace the days that a staged folder holds by its files; all other days stay as they are.
+
+        The files are moved, not written again. A day's old files go after the new ones came,
+        so a run that is lost in between leaves rows twice, which merging again mends, but loses none.
+        """
+        versions.replace_folders(self.spark, staged, f"{self.store}/{name}")
 
 
 def _since(mark: DataFrame) -> Column:
@@ -88,10 +97,16 @@ def run_incremental(spark: SparkSession, raw_path: str, store: str) -> dict[str,
     require_events(spark, raw_path)
     days = DayStore(spark, store)
 
-    def staged(name: str, rows: DataFrame) -> DataFrame:
-        path = fresh_dir(spark, f"incremental-{name}")
-        rows.write.parquet(path)
-        return spark.read.schema(rows.schema).parquet(path)
+    paths: dict[str, str] = {}
+
+    def staged(name: str, rows: DataFrame, by: str | None = None) -> DataFrame:
+        paths[name] = fresh_dir(spark, f"incremental-{name}")
+        writer = rows.write if by is None else rows.write.partitionBy(by)
+        writer.parquet(paths[name])
+        return spark.read.schema(rows.schema).parquet(paths[name])
+
+    def by_day(name: str, rows: DataFrame, by: str = "day") -> DataFrame:
+        return staged(name, rows.hint("rebalance", by), by)
 
     landed = read_landed(spark, raw_path)  # one listing for the rows and the mark
     fresh = staged("fresh", daily.with_day(clean.filter_page(landed.filter(_since(days.mark())))))
@@ -101,12 +116,14 @@ def run_incremental(spark: SparkSession, raw_path: str, store: str) -> dict[str,
         versions.write_version(mark, f"{store}/landed_until")
         return {"new_plays": 0, "touched_days": 0, "recounted_days": 0}
 
+    merging = stored_bytes(spark, paths["fresh"]) + days.held_bytes("survivors", touched)
+    size_for(spark, merging, STORED_WIDENED)
     held = days.survivors().filter(daily.among("day", touched))
-    survivors = staged("survivors", daily.survivors(held, fresh.select(*EVENT_COLUMNS)))
+    survivors = staged("survivors", daily.survivors(held, fresh.select(*EVENT_COLUMNS)), "day")
     plays = clean.fill_event_time(survivors)
-    tracks = staged("tracks", views.listener_tracks(plays, "day"))
-    hours = staged("hours", views.listener_hours(plays, "day"))
-    now = staged("user-days", daily.user_days(hours))
+    by_day("tracks", views.listener_tracks(plays, "day"))
+    hours = by_day("hours", views.listener_hours(plays, "day"))
+    now = by_day("user_days", daily.user_days(hours))
 
     before = days.user_days().filter(daily.among("day", touched))
     others = days.user_days().filter(daily.outside("day", touched))
@@ -125,13 +142,12 @@ def run_incremental(spark: SparkSession, raw_path: str, store: str) -> dict[str,
     )
     # A date that lost all its plays gets a row without a type, so that its old rows go.
     empty = spark.createDataFrame([(None, 0, 0, date) for date in dates], daily.RETAINED_DDL)
-    retained = staged("retained", counted.unionByName(empty.select(*counted.columns)))
+    by_day("retained", counted.unionByName(empty.select(*counted.columns)), "play_date")
 
-    days.swap("survivors", survivors)
-    days.swap("tracks", tracks)
-    days.swap("hours", hours)
-    days.swap("retained", retained, "play_date")
+    new_plays = fresh.count()
+    for name in ("survivors", "tracks", "hours", "retained"):
+        days.swap(name, paths[name])
     versions.write_version(firsts, f"{store}/first_days")
-    days.swap("user_days", now)
+    days.swap("user_days", paths["user_days"])
     versions.write_version(mark, f"{store}/landed_until")
-    return {"new_plays": fresh.count(), "touched_days": len(touched), "recounted_days": len(dates)}
+    return {"new_plays": new_plays, "touched_days": len(touched), "recounted_days": len(dates)}

@@ -6,11 +6,12 @@ from pathlib import Path
 
 import pytest
 
-from playlake.operators import clean, views
+from playlake.operators import clean, daily, views
 from playlake.plans import incremental
 from playlake.plans.incremental import DayStore, run_incremental
 from playlake.sources import files
-from tests.conftest import event, rows
+from playlake.sources import versions
+from tests.conftest import event, plan, rows
 
 
 def moment(rng, days=(1, 2, 3, 4)):
@@ -139,3 +140,49 @@ def test_several_streams_and_rows_outside_of_them(spark, events, tmp_path):
     land(events, tmp_path, 5, [event("2024-01-03 10:00:00", userId=3)])
     assert run_incremental(spark, f"{tmp_path}/raw", f"{tmp_path}/days")["new_plays"] == 2
     check(spark, tmp_path)
+
+
+def test_survivors_are_moved_and_sorted_once(spark, events, tmp_path):
+    """No wide sort of whole scan splits before the shuffle, and files by day need no shuffle of their own."""
+    files.write_parquet(events(*some_events(3)), f"{tmp_path}/raw")
+    raw = files.read_events(spark, f"{tmp_path}/raw")
+    found = plan(daily.survivors(daily.with_day(raw), raw)).split("Exchange rangepartitioning")
+    assert len(found) == 2 and "Exchange" not in found[0]
+    assert "Aggregate" in found[0] and "Aggregate" not in found[1]
+    assert found[0].count("Sort [") == 1 and "Sort [" not in found[1]
+
+
+def test_days_are_swapped_by_moving_their_files(spark, events, tmp_path):
+    def stage(name, *plays):
+        held = daily.with_day(events(*plays))
+        held.coalesce(1).write.partitionBy("day").parquet(f"{tmp_path}/{name}")
+        return {path.name for path in Path(f"{tmp_path}/{name}").rglob("*.parquet")}
+
+    old = stage("store", event("2024-01-01 10:00:00"), event("2024-01-02 10:00:00"), event(None))
+    new = stage("staged", event("2024-01-02 11:00:00"), event(None), event("2024-01-03 10:00:00"))
+    versions.replace_folders(spark, f"{tmp_path}/staged", f"{tmp_path}/store")
+    kept = {path.parent.name: path.name for path in Path(f"{tmp_path}/store").rglob("*.parquet")}
+    assert len(kept) == 4 and kept["day=2024-01-01"] in old
+    assert {name for day, name in kept.items() if day != "day=2024-01-01"} == new
+    assert not list(Path(f"{tmp_path}/staged").rglob("*.parquet"))
+
+
+def test_a_swap_that_is_lost_half_way_loses_no_row(spark, events, tmp_path, monkeypatch):
+    land(events, tmp_path, 0, [event(f"2024-01-0{d} 10:00:00", userId=d) for d in (1, 2, 3)])
+    run_incremental(spark, f"{tmp_path}/raw", f"{tmp_path}/days")
+    land(events, tmp_path, 1, [event(f"2024-01-0{d} 11:00:00", userId=d) for d in (1, 2, 3)])
+    moved = itertools.count()
+    move = versions.move
+
+    def lost(*args):
+        if next(moved) == 1:
+            raise RuntimeError("lost")
+        move(*args)
+
+    with monkeypatch.context() as patched:
+        patched.setattr(versions, "move", lost)
+        with pytest.raises(RuntimeError, match="lost"):
+            run_incremental(spark, f"{tmp_path}/raw", f"{tmp_path}/days")
+    assert DayStore(spark, f"{tmp_path}/days").clean().count() >= 3
+    run_incremental(spark, f"{tmp_path}/raw", f"{tmp_path}/days")
+    check(spark, tmp_path)
