@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from playlake import fixed
@@ -9,7 +11,7 @@ from playlake.operators import clean as cleaning
 from playlake.operators import audience, features, merge, views
 from playlake.plans.models import run_churn, run_segments
 from playlake.schema import EVENT_COLUMNS
-from playlake.session import prepare, size_for
+from playlake.session import prepare, size_for, together
 from playlake.sources.files import read_events, read_landed, read_view, require_events, stored_bytes, write_parquet
 
 
@@ -32,7 +34,8 @@ def run_batch(
     Events are scanned for the clean table, the two tallies, the sessions, the
     overview and the early-period features. All other views and the segments
     read those smaller tables, and every step hands over through files, so a
-    lost executor repeats one step only.
+    lost executor repeats one step only. Tables that don't need each other are
+    written at the same time.
     """
     prepare(spark)
     require_events(spark, raw_path)
@@ -42,36 +45,43 @@ def run_batch(
     raw = landed.select(*EVENT_COLUMNS)
     written: dict[str, int] = {}
 
-    def put(name: str, df: DataFrame) -> DataFrame:
-        written[name] = write_parquet(df, f"{store}/{name}")
-        return read_view(spark, f"{store}/{name}")
+    def put(**views_: DataFrame) -> dict[str, DataFrame]:
+        """Write tables that don't need each other at the same time, and read them back."""
+        steps = {name: partial(write_parquet, df, f"{store}/{name}") for name, df in views_.items()}
+        written.update(together(spark, steps))
+        return {name: read_view(spark, f"{store}/{name}") for name in views_}
 
-    put("landed_until", merge.landed_until(landed))
-    put("clean", cleaning.clean_events(raw))
+    put(landed_until=merge.landed_until(landed), clean=cleaning.clean_events(raw))
     clean = read_events(spark, f"{store}/clean")
-    tracks = put("listener_tracks", views.listener_tracks(clean))
-    hours = put("listener_hours", views.listener_hours(clean))
-    sessions = put("session_stats", views.session_stats(clean))
-
-    put("overview", views.overview(clean))
-    pages = put("page_dist", views.page_dist(raw))
-    written["raw"] = pages.agg(F.sum("event_count")).first()[0]
+    held = put(
+        listener_tracks=views.listener_tracks(clean),
+        listener_hours=views.listener_hours(clean),
+        session_stats=views.session_stats(clean),
+        overview=views.overview(clean),
+        page_dist=views.page_dist(raw),
+    )
+    tracks, hours, sessions = held["listener_tracks"], held["listener_hours"], held["session_stats"]
+    written["raw"] = held["page_dist"].agg(F.sum("event_count")).first()[0]
     written["dropped"] = written["raw"] - written["clean"]
-    songs = put("top_songs", views.top_songs(tracks))
-    artists = put("top_artists", views.top_artists(tracks))
-    put("top10_songs", views.top(songs, "play_count", fixed.TOP_VIEW, "song", "artist"))
-    put("top10_artists", views.top(artists, "play_count", fixed.TOP_VIEW, "artist"))
-    put("top_locations", views.top_locations(tracks))
-    put("level_stats", views.level_stats(tracks))
-    put("level_ratio", views.level_ratio(tracks))
-    put("gender_stats", views.gender_stats(tracks))
-    put("plays_by_hour", views.plays_by_hour(hours))
-    put("active_users_ts", views.active_users_ts(hours))
-    put("hour_users", audience.hour_users(hours))
-    put("song_users", audience.song_users(tracks))
-    put("first_play", views.first_play(hours))
-    put("retention", views.retention(hours))
-    put("session_dist", views.session_dist(sessions))
+    held = put(
+        top_songs=views.top_songs(tracks),
+        top_artists=views.top_artists(tracks),
+        retention=views.retention(hours),
+        plays_by_hour=views.plays_by_hour(hours),
+        hour_users=audience.hour_users(hours),
+        active_users_ts=views.active_users_ts(hours),
+        song_users=audience.song_users(tracks),
+        top_locations=views.top_locations(tracks),
+        level_stats=views.level_stats(tracks),
+        level_ratio=views.level_ratio(tracks),
+        gender_stats=views.gender_stats(tracks),
+        first_play=views.first_play(hours),
+        session_dist=views.session_dist(sessions),
+    )
+    put(
+        top10_songs=views.top(held["top_songs"], "play_count", fixed.TOP_VIEW, "song", "artist"),
+        top10_artists=views.top(held["top_artists"], "play_count", fixed.TOP_VIEW, "artist"),
+    )
     if models:
         run_segments(spark, features.user_features_of_tables(tracks, hours, sessions), store)
         run_churn(spark, clean, store)

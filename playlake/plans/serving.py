@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+from functools import partial
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -10,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from playlake import fixed
 from playlake.operators import audience, merge
 from playlake.schema import EVENT_DDL
+from playlake.session import together
 from playlake.sources.catalog import Catalog
 from playlake.sources.files import (
     LANDED_DDL,
@@ -58,28 +60,26 @@ def run_serving(
     speed = speed_events(spark, speed_path)
     fresh = speed if overlap else merge.speed_after(read_view(spark, f"{store}/landed_until"), speed)
 
-    def put(name: str, df: DataFrame) -> DataFrame:
-        written[name] = write_version(df, f"{target}/{name}")
-        return read_view(spark, f"{target}/{name}")
-
-    put("speed_top_songs", merge.speed_top_songs(speed))
-    put("speed_top_artists", merge.speed_top_artists(speed))
-    put("speed_active_ts", merge.speed_active_ts(speed))
-    put("speed_level", merge.speed_level(speed))
-    put("speed_summary", merge.speed_summary(batch, speed))
-
     def published(name: str) -> DataFrame:
         return read_view(spark, f"{store}/{name}")
 
-    put("merged_top_songs", merge.merged_top_songs(published("top_songs"), merge.speed_top_songs(fresh)))
-    artists = merge.speed_top_artists(fresh)
-    put("merged_top_artists", merge.merged_top_artists(published("top_artists"), artists))
-    hours = merge.speed_active_ts(fresh)
-    put("merged_active_ts", merge.merged_active_ts(published("active_users_ts"), hours))
     # Exact over both layers, from the sets that the batch run stored; its events are not read again.
     arrived = audience.hour_users(fresh, "ingestion_time")
-    put("merged_active_users", audience.merged_active_users(published("hour_users"), arrived))
-    put("merged_listeners", audience.merged_listeners(published("song_users"), audience.song_users(fresh)))
+    tables = {
+        "speed_top_songs": merge.speed_top_songs(speed),
+        "speed_top_artists": merge.speed_top_artists(speed),
+        "speed_active_ts": merge.speed_active_ts(speed),
+        "speed_level": merge.speed_level(speed),
+        "speed_summary": merge.speed_summary(batch, speed),
+        "merged_top_songs": merge.merged_top_songs(published("top_songs"), merge.speed_top_songs(fresh)),
+        "merged_top_artists": merge.merged_top_artists(published("top_artists"), merge.speed_top_artists(fresh)),
+        "merged_active_ts": merge.merged_active_ts(published("active_users_ts"), merge.speed_active_ts(fresh)),
+        "merged_active_users": audience.merged_active_users(published("hour_users"), arrived),
+        "merged_listeners": audience.merged_listeners(published("song_users"), audience.song_users(fresh)),
+    }
+    # None needs another, so their jobs share the cores.
+    steps = {name: partial(write_version, df, f"{target}/{name}") for name, df in tables.items()}
+    written.update(together(spark, steps))
     return written
 
 

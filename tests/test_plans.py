@@ -1,6 +1,10 @@
+import threading
+from functools import partial
+
 import pytest
 from pyspark.sql import functions as F
 
+from checks import queries
 from playlake import fixed
 from playlake.__main__ import main
 from playlake.operators import clean, views
@@ -8,7 +12,7 @@ from playlake.plans.batch import run_batch
 from playlake.plans.incremental import DayStore
 from playlake.plans.serving import load_catalog, run_serving
 from playlake.schema import EVENT_COLUMNS
-from playlake.session import CHECKPOINT_SETTING, fresh_dir, shared_dir, shuffles_for, size_for, task_layout
+from playlake.session import CHECKPOINT_SETTING, fresh_dir, shared_dir, shuffles_for, size_for, task_layout, together
 from playlake.sources import catalog, files, testdata
 from tests.conftest import SMALL, TINY, event, rows
 
@@ -258,3 +262,30 @@ def test_nightly_command_and_the_run_by_day(spark, store, tmp_path):
     )
     main(["by-day", "--raw", f"{base}/raw", "--store", f"{out}/days"])
     assert rows(DayStore(spark, f"{out}/days").clean()) == rows(clean)
+
+
+def test_steps_that_do_not_need_each_other_run_at_the_same_time(spark):
+    """Each waits for the other, which in a row would never end."""
+    met = threading.Barrier(2)
+
+    def step(number: int) -> int:
+        met.wait(timeout=20)
+        return spark.range(number).count()
+
+    assert together(spark, {"a": partial(step, 3), "b": partial(step, 5)}) == {"a": 3, "b": 5}
+    with pytest.raises(ZeroDivisionError):
+        together(spark, {"a": partial(spark.range(1).count), "b": lambda: 1 // 0})
+
+
+def test_layers_are_landed_in_one_write(spark, monkeypatch):
+    """The mapped events are not stored on their way to the two layers, which hold what they held."""
+    monkeypatch.setattr(queries, "_tables", {})
+    assert queries.QUERIES["served_merged_active_users"](spark, TINY).count()
+    names = {name: path for (_, _, name), path in queries._tables.items()}
+    assert set(names) == {"layers"}
+    source = testdata.event_plays(spark, TINY)
+    older, newer = source.filter(testdata.speed_start(batch=True)), source.filter(testdata.speed_start(batch=False))
+    for expected, layer in ((older, "raw"), (clean.drop_incomplete(clean.filter_page(newer)), "speed")):
+        landed = files.read_events(spark, f"{names['layers']}/{layer}")
+        assert landed.exceptAll(expected).isEmpty()
+        assert expected.exceptAll(landed).isEmpty()
