@@ -686,3 +686,9 @@ def test_links_of_one_bucket_of_many_texts_stay_few(docs, monkeypatch):
     sizes = Counter(want)
     assert sorted(r.class_size for r in got) == sorted(sizes[c] for c in want)
     assert sum(made) < 30 * len(rows)
+
+
+def test_stored_steps_are_written_as_zstd(spark):
+    from playlake.llm.rows import stored
+
+    assert all(name.endswith(".zstd.parquet") for name in stored(spark.range(3), "codec").inputFiles())
