@@ -21,10 +21,12 @@ from __future__ import annotations
 import hashlib
 import re
 import struct
-from itertools import accumulate, chain
+from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import sentencepiece
 from pyspark.sql import DataFrame
 from sentencepiece import sentencepiece_model_pb2
@@ -127,6 +129,37 @@ class Normalizer:
         return bytes(out), [*source, end]
 
 
+@dataclass(frozen=True)
+class Pieces:
+    """Pieces of numbered chunks, end to end: those of chunk n go from ``stops[n]`` to ``stops[n + 1]``."""
+
+    stops: np.ndarray
+    ids: np.ndarray
+    ends: np.ndarray  # of each piece's bytes, within the chunk
+
+    @staticmethod
+    def by_counts(counts: np.ndarray, ids: np.ndarray, ends: np.ndarray) -> Pieces:
+        return Pieces(np.concatenate([[0], np.cumsum(counts)]), ids.astype(np.int32), ends.astype(np.int32))
+
+    def __len__(self) -> int:
+        return len(self.stops) - 1
+
+    def of(self, numbers: np.ndarray) -> Pieces:
+        """Pieces of these chunks, in their order."""
+        firsts = self.stops[numbers]
+        counts = self.stops[numbers + 1] - firsts
+        stops = np.concatenate([[0], np.cumsum(counts)])
+        at = np.repeat(firsts - stops[:-1], counts) + np.arange(stops[-1])
+        return Pieces(stops, self.ids[at], self.ends[at])
+
+    def __add__(self, other: Pieces) -> Pieces:
+        return Pieces(
+            np.concatenate([self.stops, other.stops[1:] + self.stops[-1]]),
+            np.concatenate([self.ids, other.ids]),
+            np.concatenate([self.ends, other.ends]),
+        )
+
+
 class Codec:
     """Encodes texts to (ids, byte spans) and decodes ids."""
 
@@ -139,39 +172,42 @@ class Codec:
             spec.precompiled_charsmap, spec.add_dummy_prefix, spec.remove_extra_whitespaces, spec.escape_whitespaces
         )
         names = [piece.piece for piece in proto.pieces]
-        self.widths = [
-            1 if self.library.is_byte(k) else len(name.encode()) for k, name in enumerate(names)
-        ]
+        self.widths = np.array(
+            [1 if self.library.is_byte(k) else len(name.encode()) for k, name in enumerate(names)], np.int64
+        )
         crossing = any("▁" in name.lstrip("▁") or " " in name for name in names)
         own = any(piece.type == 4 for piece in proto.pieces)  # user-defined
         self.chunked = not (
             crossing or own or self.normalizer.map or spec.remove_extra_whitespaces or not spec.add_dummy_prefix
         )
-        self.kept: dict[bytes, tuple] = {}
+        self.names = list(map(str, range(len(names))))
         # A last space alone: the library gets nothing of it, and gives nothing.
         space = self.library.piece_to_id("▁")
-        self.names = list(map(str, range(len(names))))
-        self.last_space = {b"": self._entry([space], [0])}
-        self.kept |= self.last_space
-        self.older: dict[bytes, tuple] = {}
+        self.last_space = Pieces.by_counts(np.array([1]), np.array([space]), np.array([0]))
+        # Numbers of the chunks that are kept, and their pieces; those of the table before.
+        self.kept, self.pieces = {b"": 0}, self.last_space
+        self.older, self.older_pieces = self.kept, self.pieces
 
     def _spans(self, ids: list[int], source: list[int]) -> list[int]:
         """End of each piece's bytes in the source."""
-        last = len(source) - 1
-        return [source[p if p < last else last] for p in accumulate([self.widths[k] for k in ids])]
-
-    def _entry(self, ids: list[int], source: list[int]) -> tuple:
-        """Ids, ids as text, ends and number of a chunk's pieces."""
-        ends = self._spans(ids, source)
-        return np.array(ids, np.int32).tobytes(), ",".join(map(str, ids)), np.array(ends, np.int32).tobytes(), len(ids)
+        ends = np.cumsum(self.widths[np.array(ids, np.int64)])
+        return np.array(source)[np.minimum(ends, len(source) - 1)].tolist()
+
+    def _whole(self, chunks: list[bytes], found: list[list[int]]) -> Pieces:
+        """Pieces of chunks that are normalised one by one."""
+        ends = []
+        for chunk, ids in zip(chunks, found, strict=True):
+            ends += self._spans(ids, self.normalizer.run(chunk)[1])
+        counts = np.fromiter(map(len, found), np.int64, len(found))
+        return Pieces.by_counts(counts, np.array(list(chain.from_iterable(found)), np.int32), np.array(ends, np.int32))
 
-    def _entries(self, chunks: list[bytes], found: list[list[int]]):
-        """Entries of chunks whose spaces all lead, as :meth:`_entry` gives them."""
+    def _leading(self, chunks: list[bytes], found: list[list[int]]) -> Pieces:
+        """Pieces of chunks whose spaces all lead, as :meth:`_whole` gives them."""
         counts = np.fromiter(map(len, found), np.int64, len(found))
         sizes = np.fromiter(map(len, chunks), np.int64, len(chunks))
-        spaces = sizes - np.fromiter((len(c.lstrip(b" ")) for c in chunks), np.int64, len(chunks))
+        spaces = np.array([len(c) - len(c.lstrip(b" ")) if c[:1] == b" " else 0 for c in chunks], np.int64)
         ids = np.fromiter(chain.from_iterable(found), np.int32, int(counts.sum()))
-        places = np.cumsum(np.array(self.widths, np.int64)[ids])
+        places = np.cumsum(self.widths[ids])
         stops = np.cumsum(counts)
         before = np.concatenate([[0], places])[stops - counts]
         # Past the library's own space; then each space of the chunk is as wide as the mark.
@@ -179,65 +215,82 @@ class Codec:
         places -= np.repeat(before, counts) + wide
         lead = np.repeat(spaces, counts)
         places = np.where(places < lead * wide, np.maximum(places, 0) // wide, places - lead * (wide - 1))
-        ends = np.minimum(places, np.repeat(sizes, counts)).astype(np.int32).tobytes()
-        ids, names, start = ids.tobytes(), self.names, 0
-        for each, stop in zip(found, (4 * stops).tolist(), strict=True):
-            yield ids[start:stop], ",".join([names[k] for k in each]), ends[start:stop], len(each)
-            start = stop
+        return Pieces.by_counts(counts, ids, np.minimum(places, np.repeat(sizes, counts)))
+
+    def _encoded(self, chunks: list[bytes]) -> tuple[list[bytes], Pieces]:
+        """Chunks, in an order of their own, and their pieces."""
+        whole = [c for c in chunks if SPACE in c] if self.chunked else chunks
+        found = self.library.encode([c.decode() for c in whole], num_threads=1)
+        pieces = self._whole(whole, found)
+        if len(whole) == len(chunks):
+            return whole, pieces
+        rest = [c for c in chunks if SPACE not in c] if whole else chunks
+        found = self.library.encode([c.decode() for c in rest], num_threads=1)
+        return whole + rest, pieces + self._leading(rest, found)
 
     def _chunks(self, text: bytes) -> list[bytes]:
         """Chunks as the library gets them: its own leading space stands for one of theirs."""
-        if text and b"  " not in text and not text.startswith(b" "):
+        if not text:
+            return []
+        if not self.chunked or SPACE in text:
+            return [text]
+        if b"  " not in text and not text.startswith(b" "):
             return text.split(b" ")
         found = CHUNK.findall(text)
         return found[:1] + [chunk[1:] for chunk in found[1:]]
 
-    def prepare(self, found: list[bytes]) -> list[list[bytes]]:
-        """Chunks of each text, all of them encoded in the table from here on."""
+    def _numbers(self, distinct: list[bytes]) -> tuple[np.ndarray, Pieces]:
+        """A number for each chunk, and the pieces by those numbers.
+
+        Each chunk is encoded once per table; long ones are not kept, as few come again.
+        """
         if len(self.kept) > KEPT_CHUNKS:  # chunks that still come are taken over from the older table
-            self.older, self.kept = self.kept, dict(self.last_space)
-        chunks = [
-            self._chunks(text) if self.chunked and SPACE not in text else [text] if text else [] for text in found
-        ]
-        fresh, kept, older = [], self.kept, self.older
-        for chunk in set(chain.from_iterable(chunks)):
-            if chunk not in kept:
-                if chunk in older:
-                    kept[chunk] = older[chunk]
-                else:
-                    fresh.append(chunk)
-        whole = [chunk for chunk in fresh if not self.chunked or SPACE in chunk]
-        for chunk, ids in zip(whole, self.library.encode([c.decode() for c in whole], num_threads=1), strict=True):
-            kept[chunk] = self._entry(ids, self.normalizer.run(chunk)[1])
-        fresh = [chunk for chunk in fresh if chunk not in kept]
-        ids = self.library.encode([c.decode() for c in fresh], num_threads=1)
-        kept.update(zip(fresh, self._entries(fresh, ids), strict=True))
-        self.long = [chunk for chunk in chain(whole, fresh) if len(chunk) > LONGEST_CHUNK]
-        return chunks
-
-    def _prepared(self, found: list[bytes]):
-        """(chunks, their entries) of each text; long chunks are dropped after, as few come again."""
-        for chunks in self.prepare(found):
-            yield chunks, list(map(self.kept.__getitem__, chunks))
-        for chunk in self.long:
-            del self.kept[chunk]
+            self.older, self.older_pieces = self.kept, self.pieces
+            self.kept, self.pieces = {b"": 0}, self.last_space
+        kept, older = self.kept, self.older
+        fresh = [chunk for chunk in distinct if chunk not in kept]
+        again = [chunk for chunk in fresh if chunk in older]
+        if again:
+            self.pieces += self.older_pieces.of(np.array([older[chunk] for chunk in again]))
+            kept.update(zip(again, range(len(kept), len(kept) + len(again)), strict=True))
+            fresh = [chunk for chunk in fresh if chunk not in older]
+        short, pieces = self._encoded([chunk for chunk in fresh if len(chunk) <= LONGEST_CHUNK])
+        self.pieces += pieces
+        kept.update(zip(short, range(len(kept), len(kept) + len(short)), strict=True))
+        if len(short) == len(fresh):
+            return np.fromiter(map(kept.__getitem__, distinct), np.int64, len(distinct)), self.pieces
+        long, pieces = self._encoded([chunk for chunk in fresh if len(chunk) > LONGEST_CHUNK])
+        passing = dict(zip(long, range(len(kept), len(kept) + len(long)), strict=True))
+        numbers = [kept[chunk] if chunk in kept else passing[chunk] for chunk in distinct]
+        return np.array(numbers, np.int64), self.pieces + pieces
 
     def aligned(self, found: list[bytes]):
-        """Yield (ids, ids as text, ends of their byte spans) for each text."""
-        for chunks, entries in self._prepared(found):
-            if not entries:
-                yield [], "", []
-                continue
-            ids, written, ends, counts = zip(*entries, strict=True)
-            sizes = np.fromiter(map(len, chunks), np.int64, len(chunks))
-            sizes += 1  # a chunk after the first lost one space to the library
-            ends = np.frombuffer(b"".join(ends), np.int32) + np.repeat(np.cumsum(sizes) - sizes, counts)
-            yield np.frombuffer(b"".join(ids), np.int32).tolist(), ",".join(written), ends.tolist()
+        """Yield (ids, ends of their byte spans) for each text, as arrays.
+
+        Distinct chunks are looked up once for all texts; their pieces are copied to the
+        places where they stand in one go, without an object for each.
+        """
+        chunks = [self._chunks(text) for text in found]
+        parts = np.fromiter(map(len, chunks), np.int64, len(chunks))
+        spelled = pa.array(chain.from_iterable(chunks), pa.large_binary()).dictionary_encode()
+        numbers, pieces = self._numbers(spelled.dictionary.to_pylist())
+        which = spelled.indices.to_numpy(zero_copy_only=False)
+        pieces = pieces.of(numbers[which])
+        # Places of the chunks in their texts; a chunk after the first lost one space to the library.
+        places = np.concatenate([[0], np.cumsum(pc.binary_length(spelled.dictionary).to_numpy()[which] + 1)])
+        last = np.cumsum(parts)
+        places = places[:-1] - np.repeat(places[last - parts], parts)
+        ends = (pieces.ends + np.repeat(places, np.diff(pieces.stops))).astype(np.int32)
+        stops = pieces.stops[last]
+        start = 0
+        for stop in stops.tolist():
+            yield pieces.ids[start:stop], ends[start:stop]
+            start = stop
 
     def encode(self, found: list[bytes]):
         """Yield (ids, ends of their byte spans) for each text."""
-        for ids, _, ends in self.aligned(found):
-            yield ids, ends
+        for ids, ends in self.aligned(found):
+            yield ids.tolist(), ends.tolist()
 
     def decode(self, ids: list[int]) -> str:
         return self.library.decode(ids) if ids else ""
@@ -245,8 +298,11 @@ class Codec:
 
 def _digests(codec: Codec, batch: pa.RecordBatch):
     """Yield (ids, ends, digest of the ids as text, digest of the decoded text) of a batch's texts."""
-    for ids, written, ends in codec.aligned(texts(batch)):
-        decoded = codec.decode(ids)
+    names = codec.names
+    for ids, ends in codec.aligned(texts(batch)):
+        some = ids.tolist()
+        written = ",".join([names[k] for k in some])
+        decoded = codec.decode(some)
         yield ids, ends, hashlib.sha256(written.encode()).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest()
 
 
@@ -299,7 +355,7 @@ def digested(documents: DataFrame, path: str) -> DataFrame:
                 sizes.append(len(ids))
                 ids_sha.append(digest)
                 decoded_sha.append(decoded)
-                covered.append(ends[-1] if ends else 0)
+                covered.append(int(ends[-1]) if len(ends) else 0)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),

@@ -6,6 +6,7 @@ import hashlib
 import math
 import random
 import re
+import sys
 import zlib
 from collections import Counter
 
@@ -449,6 +450,32 @@ def test_piece_spans_cut_the_text():
             assert text.encode()[a:b].decode() in (surface, surface[1:])
 
 
+def test_pieces_take_no_call_for_each_chunk():
+    # Encoding a batch costs Python calls by its texts, not by the distinct chunks in them.
+    codec = pieces.Codec(queries.PIECE_MODEL)
+    texts = [" ".join(f"w{n}x{k}" for k in range(500)).encode() for n in range(10)]
+    calls = Counter()
+    sys.setprofile(lambda frame, event, arg: calls.update([event]))
+    try:
+        found = list(codec.encode(texts))
+    finally:
+        sys.setprofile(None)
+    assert [ids for ids, _ in found] == codec.library.encode([t.decode() for t in texts])
+    assert calls["call"] < 500, calls
+
+
+def test_pieces_are_the_same_from_small_tables(monkeypatch):
+    # Tables that are full after every batch, chunks taken over from the older one, long chunks and marks.
+    monkeypatch.setattr(pieces, "KEPT_CHUNKS", 3)
+    codec = pieces.Codec(queries.PIECE_MODEL)
+    batches = [["a b c d e", "y" * 70 + " a", ""], ["a  z ", "▁a b"], [" a b " + "y" * 70, "q", "é 漢"], ["z", "  "], [], ["b"]]
+    for batch in batches:
+        found = list(codec.encode([t.encode() for t in batch]))
+        assert [ids for ids, _ in found] == [codec.library.encode(t) for t in batch]
+        for text, (ids, ends) in zip(batch, found, strict=True):
+            assert ends == codec._spans(ids, codec.normalizer.run(text.encode())[1])
+
+
 @pytest.mark.parametrize("rule", ["nfkc", "nmt_nfkc_cf"])
 def test_normalizer_matches_the_library(rule):
     library = sentencepiece.SentencePieceNormalizer(rule_name=rule)
