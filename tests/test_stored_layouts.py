@@ -5,6 +5,7 @@ import uuid
 import pytest
 from pyspark.sql import functions as F
 
+from checks import queries
 from checks.queries import batch, order_clean, order_habits, speed
 from playlake.operators import features, merge, views
 from playlake.sources.catalog import Catalog
@@ -26,6 +27,16 @@ def no_broadcast(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
+def test_habits_store_only_the_columns_they_read(spark, monkeypatch):
+    monkeypatch.setattr(queries, "_tables", {})
+    want = sorted(order_habits(spark, SMALL).collect())
+    stored = {name: path for (_, _, name), path in queries._tables.items()}
+    assert set(stored) == {"order_listens", "order_churn_features"}
+    listens = spark.read.parquet(stored["order_listens"])
+    assert listens.columns == ["userId", "sessionId", "event_ts", "artist", "song", "duration", "level"]
+    assert sorted(features.churn_features(order_clean(spark, SMALL)).collect()) == want
+
+
 def below_join(text: str) -> str:
     """The plan from its first sort-merge join on, without subqueries."""
     main = text.split("Subquery")[0] if "SortMergeJoin" in text.split("Subquery")[0] else text
