@@ -364,6 +364,27 @@ def test_suffix_dedup_matches_a_plain_search(docs, monkeypatch, near, hot, strin
     assert Counter(tuple(r) for r in suffix_dedup.judged(docs(rows, clash=True), strings).collect()) == want
 
 
+def test_wide_cores_make_two_rows_for_a_segment(docs, monkeypatch):
+    # Segments of cores that are not brought together are cut in two at a time, not in all classes at once.
+    counts = []
+
+    def watched(frame, name):
+        kept = stored(frame, name)
+        counts.append((name, kept.count()))
+        return kept
+
+    stored = suffix_dedup.stored
+    monkeypatch.setattr(suffix_dedup, "stored", watched)
+    monkeypatch.setattr(suffix_dedup, "NEAR", 0)
+    rng = random.Random(9)
+    some = lambda n: "".join(rng.choices("abcdefgh", k=n))
+    common = some(350)
+    suffix_dedup.judged(docs([some(200) + common + some(200) for _ in range(30)])).collect()
+    cuts = [n for name, n in counts if name == "suffix-cut"]
+    narrow = [n for name, n in counts if name == "suffix-narrow"]
+    assert cuts[0] and narrow and all(n <= 2 * cuts[0] for n in narrow)
+
+
 def test_strings_need_classes():
     with pytest.raises(ValueError):
         suffix_dedup.Strings(length=240, k=33, fine=7)
